@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["normalizer"]
+MODULES = ["text", "requests", "normalizer"]
 
 
 def _merged(attribute: str) -> dict:
