@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["text", "requests", "normalizer"]
+MODULES = ["files", "text", "requests", "normalizer", "batches", "costs", "status"]
 
 
 def _merged(attribute: str) -> dict:
