@@ -136,8 +136,10 @@ QUERIES = {
 BARE = "replace(replace(x, '.', ''), '\"', '')"
 
 # labels -> valid, misses (distinct, first place kept)
-PARTITION_SQL = f"""
-{d.TOPICS_SQL}, {d.RESPONSES_SQL}, {d.labels_sql()},
+def partition_sql(responses: str) -> str:
+    """CTEs over a ``responses(id, raw_response)`` CTE given as SQL."""
+    return f"""
+{d.TOPICS_SQL}, {responses}, {d.labels_sql()},
 numbered AS (SELECT id, labels, row_number() OVER () AS rid FROM labels),
 exploded AS (
   SELECT rid, unnest(labels) AS x, generate_subscripts(labels, 1) AS i
@@ -152,6 +154,9 @@ kept AS (
 ),
 missed AS (SELECT rid, b, min(i) AS i FROM looked WHERE NOT known GROUP BY rid, b)"""
 
+
+PARTITION_SQL = partition_sql(d.RESPONSES_SQL)
+
 # distinct misses -> best match by brute force over the whole vocabulary
 MATCH_SQL = """
 distinct_misses AS (SELECT DISTINCT b AS miss FROM missed),
@@ -194,7 +199,8 @@ merged AS (
   FROM numbered LEFT JOIN kept USING (rid) LEFT JOIN miss_lists USING (rid)
 )"""
 
-NORMALIZE_SQL = f"""WITH {PARTITION_SQL}, {MATCH_SQL}, {BEST_SQL}
+def normalize_sql(responses: str) -> str:
+    return f"""WITH {partition_sql(responses)}, {MATCH_SQL}, {BEST_SQL}
 SELECT id,
   array_to_string(CASE WHEN len(valid) > 0 THEN list_concat(valid, matched)
     ELSE [] END, '~') AS categories,
@@ -202,6 +208,9 @@ SELECT id,
 FROM merged"""
 
 
+NORMALIZE_SQL = normalize_sql(d.RESPONSES_SQL)
+
+
 def _element_sql(expr: str, name: str) -> str:
     return f"WITH {d.RESPONSES_SQL} SELECT id, {expr} AS {name} FROM responses"
 

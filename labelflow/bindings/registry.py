@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["files", "text", "requests", "normalizer", "batches", "costs", "status"]
+MODULES = [
+    "files", "text", "requests", "normalizer", "batches", "costs", "status", "incremental",
+]
 
 
 def _merged(attribute: str) -> dict:
