@@ -17,7 +17,7 @@ MAX_PROMPT_TOPICS = 1_000
 TEMPLATE = (
     'Title: "<title>" Summary: "<abstract>" Pick <num_terms> of:\n<topics>\nThanks.'
 )
-ROWS, BYTES = 100, 20_000
+ROWS, BYTES = 1_000, 100_000
 CONFIGS = {
     "parts": {
         "text_columns": ["p_type", "p_note"],
@@ -179,7 +179,7 @@ def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(p_partkey, line): one request per part; every 97th is oversized."""
     key = F.col("p_partkey")
     template = F.lit(_template(spark, sf_dir))
-    prompt = F.when(key % 97 == 5, F.repeat(template, F.lit(200))).otherwise(template)
+    prompt = F.when(key % 97 == 5, F.repeat(template, F.lit(1000))).otherwise(template)
     record = P.request(key, prompt, "gpt-4.1-nano")
     return spread(d.table(spark, sf_dir, "part")).select(
         "p_partkey", P.request_line(record).alias("line")
@@ -279,7 +279,7 @@ def sql_request(custom_id: str, prompt: str) -> str:
 _SIZED_SQL = f"""{_TYPES_SQL},
 lines AS (
   SELECT p_partkey, {sql_request('p_partkey', f'''CASE WHEN p_partkey % 97 = 5
-    THEN repeat({_FILLED_SQL}, 200) ELSE {_FILLED_SQL} END''')} AS line
+    THEN repeat({_FILLED_SQL}, 1000) ELSE {_FILLED_SQL} END''')} AS line
   FROM part, types
 ),
 sized AS (

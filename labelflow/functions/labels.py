@@ -57,7 +57,7 @@ def mask_commas(text: Column) -> Column:
     )
 
 
-def split_separators(text: Column) -> Column:
+def _pieces(text: Column, singles: str) -> Column:
     """Non-empty stripped pieces between separators.
 
     Longer separators, then single characters, become line breaks, and the cut
@@ -65,11 +65,15 @@ def split_separators(text: Column) -> Column:
     split would compile it for every row.
     """
     lines = F.translate(
-        F.regexp_replace(text, _LONGER_PATTERN, "\n"), _SINGLES, "\n" * len(_SINGLES)
+        F.regexp_replace(text, _LONGER_PATTERN, "\n"), singles, "\n" * len(singles)
     )
     return F.filter(F.transform(F.split(lines, "\n"), strip), lambda piece: piece != "")
 
 
+def split_separators(text: Column) -> Column:
+    return _pieces(text, _SINGLES)
+
+
 def strip_label_prefix(text: Column) -> Column:
     return F.regexp_replace(text, LABEL_PREFIX, "")
 
@@ -90,9 +94,29 @@ def split_labels(parts: Column) -> Column:
     return F.transform(pieces, strip_label_prefix)
 
 
+def quoted_label_list(raw: Column) -> Column:
+    """All steps one after another; right for every response."""
+    return F.flatten(F.transform(split_labels(split_tabs(raw)), quoted_segments))
+
+
+def plain_label_list(raw: Column) -> Column:
+    """The same for a response without quotes.
+
+    There every comma is masked and every tab cuts, so both join the other
+    separators and one pass is enough.
+    """
+    pieces = _pieces(raw, _SINGLES + ",\t")
+    return F.when(
+        F.contains(raw, F.lit("Category ")),
+        F.transform(pieces, lambda piece: strip(strip_label_prefix(piece))),
+    ).otherwise(pieces)
+
+
 def label_list(raw: Column) -> Column:
     """Raw response to labels, in order, duplicates kept; null stays null."""
-    return F.flatten(F.transform(split_labels(split_tabs(raw)), quoted_segments))
+    return F.when(F.contains(raw, F.lit('"')), quoted_label_list(raw)).otherwise(
+        plain_label_list(raw)
+    )
 
 
 def bare(label: Column) -> Column:

@@ -22,9 +22,17 @@ _WORD = r"\p{L}\p{M}\p{N}_"
 TOKEN_PATTERN = f"(?:[{_WORD}]+|[^{_WORD}{WHITESPACE}])"
 _SPACED_TOKEN = f"[{WHITESPACE}]*{TOKEN_PATTERN}"
 
+# Whitespace that is not already one plain space.
+_RUNS = f"[{WHITESPACE}]{{2,}}|[{WHITESPACE.replace(' ', '')}]"
+
 TokenCounter = Callable[[Column], Column]
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Remove Unicode whitespace from both ends (linear, no regex)."""
     return F.btrim(text, F.lit(WHITESPACE))
@@ -40,16 +48,20 @@ def remove_html(text: Column) -> Column:
     Only the part up to the last ``>`` is searched. There every ``<`` finds its
     end, so the work is linear even for a text made of unclosed ``<``.
     """
-    tail = F.substring_index(text, ">", -1)
-    head = F.left(text, F.length(text) - F.length(tail))
-    return F.when(
-        F.contains(text, F.lit("<")) & F.contains(text, F.lit(">")),
-        F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail),
-    ).otherwise(text)
+
+    def strip_tags(text: Column) -> Column:
+        tail = F.substring_index(text, ">", -1)
+        head = F.left(text, F.length(text) - F.length(tail))
+        return F.when(
+            F.contains(text, F.lit("<")) & F.contains(text, F.lit(">")),
+            F.concat(F.regexp_replace(head, "<[^>]++>", " "), tail),
+        ).otherwise(text)
+
+    return let(text, strip_tags)
 
 
 def normalize_whitespace(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, f"[{WHITESPACE}]+", " "))
+    return F.trim(F.regexp_replace(text, _RUNS, " "))
 
 
 def truncate_chars(text: Column, max_length: int | None) -> Column:
@@ -101,11 +113,18 @@ def keep_tokens(text: Column, limit: Column | int) -> Column:
     """
     n = limit if isinstance(limit, Column) else F.lit(limit)
     n = F.greatest(n.cast("int"), F.lit(0))
-    pieces = F.regexp_extract_all(text, F.lit(f"({_SPACED_TOKEN})"), F.lit(1))
-    return F.when(
-        (F.length(text) > n) & (token_count(text) > n),
-        F.array_join(F.slice(pieces, F.lit(1), n), ""),
-    ).otherwise(text)
+
+    def cut(text: Column) -> Column:
+        pieces = F.regexp_extract_all(text, F.lit(f"({_SPACED_TOKEN})"), F.lit(1))
+        first = let(
+            pieces,
+            lambda p: F.when(
+                F.size(p) > n, F.array_join(F.slice(p, F.lit(1), n), "")
+            ).otherwise(text),
+        )
+        return F.when(F.length(text) > n, first).otherwise(text)
+
+    return let(text, cut)
 
 
 def keep_to_budget(

@@ -11,18 +11,21 @@ it, and the matches are appended. Two exact plans give the same rows:
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.functions.labels import bare, label_list, protected_label_list
 from labelflow.functions.labels import needs_protection
+from labelflow.functions.once import with_once
 from labelflow.operators.matching import INLINE_LABELS, Vocabulary, match_misses
 from labelflow.storage import materialise
 
 # A match table within both bounds is looked up inside the row.
-INLINE_MATCHES = 50_000
-INLINE_MATCH_CHARS = 8_000_000
-_BUCKETS = 4096
+INLINE_MATCHES = 20_000
+INLINE_MATCH_CHARS = 1_000_000
+_BUCKETS = 1024
 _SPREAD = 4096
 
 
@@ -31,7 +34,7 @@ def with_labels(responses: DataFrame, labels: Column | None = None) -> DataFrame
     out = label_list(F.col("raw_response")) if labels is None else labels
     if "categories" in responses.columns:
         out = F.coalesce(out, F.col("categories"))
-    return responses.withColumn("labels", out)
+    return with_once(responses, "labels", out)
 
 
 def protected_entries(topics: DataFrame) -> Column:
@@ -83,11 +86,7 @@ def _payload(rows: DataFrame) -> list[str]:
 
 def _list_elements(rows: DataFrame) -> DataFrame:
     """(list_key, i, x, bare) for each distinct non-empty label list."""
-    lists = (
-        rows.where(F.size("labels") > 0)
-        .select("list_key", "labels")
-        .dropDuplicates(["list_key"])
-    )
+    lists = rows.select("list_key", "labels").dropDuplicates(["list_key"])
     return lists.select("list_key", F.posexplode("labels").alias("i", "x")).withColumn(
         "bare", bare(F.col("x"))
     )
@@ -95,7 +94,9 @@ def _list_elements(rows: DataFrame) -> DataFrame:
 
 def distinct_misses(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """(miss): every distinct unknown label of a table with ``labels``."""
-    labels = rows.select(F.explode(_distinct_bare(F.col("labels"))).alias("miss"))
+    labels = rows.select(F.explode("labels").alias("label")).select(
+        bare(F.col("label")).alias("miss")
+    )
     if vocabulary.names is not None:
         return labels.where(~vocabulary.contains(F.col("miss"))).distinct()
     topics = vocabulary.topics.select(F.col("topic").alias("miss"))
@@ -159,17 +160,15 @@ def partition_labels(
 
 
 def _lookup_table(matches: DataFrame) -> Column:
-    """The match table as one array of small maps, indexed by hash."""
+    """A small match table as one constant: an array of maps, indexed by hash.
+
+    Spark folds the constant once per query, and a lookup reads one small map.
+    """
     bucket = F.pmod(F.xxhash64("miss"), F.lit(_BUCKETS)).cast("int")
-    by_bucket = matches.groupBy(bucket.alias("b")).agg(
-        F.map_from_entries(F.collect_list(F.struct("miss", "label"))).alias("m")
-    )
-    table = by_bucket.agg(
-        F.map_from_entries(F.collect_list(F.struct("b", "m"))).alias("t")
-    )
-    return table.select(
-        F.transform(F.sequence(F.lit(0), F.lit(_BUCKETS - 1)), lambda i: F.col("t")[i])
-    ).scalar()
+    table: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
+    for b, miss, label in matches.select(bucket, "miss", "label").collect():
+        table[b][miss] = label
+    return F.from_json(F.lit(json.dumps(table)), "array<map<string,string>>")
 
 
 def _lookup(table: Column, miss: Column) -> Column:
@@ -216,11 +215,10 @@ def normalize(
     )
     none = F.array().cast("array<string>")
     if inline:
-        split = _split_inline(rows, vocabulary).withColumn(
-            "_table", _lookup_table(matches)
-        )
+        split = _split_inline(rows, vocabulary)
+        table = _lookup_table(matches)
         matched = F.filter(
-            F.transform("misses", lambda m: _lookup(F.col("_table"), m)),
+            F.transform("misses", lambda m: _lookup(table, m)),
             lambda m: m.isNotNull(),
         )
         resolved = split.withColumn("matched", F.coalesce(matched, none))

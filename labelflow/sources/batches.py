@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelflow.functions.once import with_once
+
 LINE_SCHEMA = (
     "custom_id string, error string, response struct<status_code int, body string>,"
     " _corrupt string"
@@ -42,9 +44,8 @@ def read_batch_files(spark: SparkSession, path: str) -> DataFrame:
 
 def _parsed(lines: DataFrame) -> DataFrame:
     record = F.from_json("line", LINE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt"})
-    return lines.withColumn("_r", record).withColumn(
-        "_b", F.from_json("_r.response.body", BODY_SCHEMA)
-    )
+    parsed = with_once(lines, "_r", record)
+    return with_once(parsed, "_b", F.from_json("_r.response.body", BODY_SCHEMA))
 
 
 def parse_batch_output(lines: DataFrame) -> DataFrame:
