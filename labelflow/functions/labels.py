@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from labelflow.functions.text import strip
+from labelflow.functions.text import let, strip
 
 # Everything that separates two labels in a response. The order
 # counts: at one position the first entry that fits is taken.
@@ -44,13 +44,18 @@ def mask_commas(text: Column) -> Column:
     it exactly when its distance from the last piece is even. Linear, where a
     look-ahead regex is quadratic.
     """
-    pieces = F.split(text, '"')
-    last = F.size(pieces) - 1
-    masked = F.transform(
-        pieces,
-        lambda piece, i: F.when(
-            (last - i) % 2 == 0, F.replace(piece, F.lit(","), F.lit("|"))
-        ).otherwise(piece),
+
+    def mask(pieces: Column, last: Column) -> Column:
+        return F.transform(
+            pieces,
+            lambda piece, i: F.when(
+                (last - i) % 2 == 0, F.replace(piece, F.lit(","), F.lit("|"))
+            ).otherwise(piece),
+        )
+
+    # ``let`` keeps the cut and its size out of the per-piece function.
+    masked = let(
+        F.split(text, '"'), lambda p: let(F.size(p) - 1, lambda last: mask(p, last))
     )
     return F.when(F.contains(text, F.lit('"')), F.array_join(masked, '"')).otherwise(
         F.replace(text, F.lit(","), F.lit("|"))

@@ -122,23 +122,20 @@ def _resolve_lists(
         )
     items = F.sort_array(F.collect_list(F.struct("i", "x", "bare", "known", "match")))
     grouped = joined.groupBy("list_key").agg(items.alias("items"))
-    # First place of each distinct miss, in order.
-    misses = F.filter(F.col("items"), lambda e: e["known"].isNull())
-    first = F.filter(
-        F.col("missing"),
-        lambda e, i: F.array_position(F.col("missing.bare"), e["bare"]) == i + 1,
+    missing = F.filter("items", lambda e: e["known"].isNull())
+    # Repeats of a miss have the same match; both are kept at the first place.
+    # Strings are compared by hash, so this stays linear in the list.
+    pair = F.transform(
+        F.filter("missing", lambda e: e["match"].isNotNull()),
+        lambda e: F.concat(e["bare"], F.lit("\x00"), e["match"]),
     )
-    return (
-        grouped.withColumn("missing", misses)
-        .withColumn("first", first)
-        .select(
-            "list_key",
-            F.filter("items", lambda e: e["known"])["x"].alias("valid"),
-            F.col("first.bare").alias("misses"),
-            F.filter("first", lambda e: e["match"].isNotNull())["match"].alias(
-                "matched"
-            ),
-        )
+    return grouped.withColumn("missing", missing).select(
+        "list_key",
+        F.filter("items", lambda e: e["known"])["x"].alias("valid"),
+        F.array_distinct("missing.bare").alias("misses"),
+        F.transform(
+            F.array_distinct(pair), lambda p: F.substring_index(p, "\x00", -1)
+        ).alias("matched"),
     )
 
 
