@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.bindings import derived as d
@@ -175,15 +175,12 @@ def format_prompt_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def request_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(p_partkey, line): one request per part; every 97th is oversized."""
+def _request_line(spark: SparkSession, sf_dir: str) -> Column:
+    """One request per part; every 97th is oversized."""
     key = F.col("p_partkey")
     template = F.lit(_template(spark, sf_dir))
     prompt = F.when(key % 97 == 5, F.repeat(template, F.lit(1000))).otherwise(template)
-    record = P.request(key, prompt, "gpt-4.1-nano")
-    return spread(d.table(spark, sf_dir, "part")).select(
-        "p_partkey", P.request_line(record).alias("line")
-    )
+    return P.request_line(P.request(key, prompt, "gpt-4.1-nano"))
 
 
 def build_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,8 +190,9 @@ def build_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sized_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions and sizes only; the request text is not shuffled here."""
-    sizes = request_rows(spark, sf_dir).select(
-        "p_partkey", F.octet_length("line").cast("long").alias("nbytes")
+    line = _request_line(spark, sf_dir)
+    sizes = spread(d.table(spark, sf_dir, "part")).select(
+        "p_partkey", F.octet_length(line).cast("long").alias("nbytes")
     )
     return C.chunk_by_count(sizes, ["p_partkey"], ROWS)
 
@@ -219,8 +217,7 @@ def chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the request files, then read them back with their file's name."""
     path = scratch_dir(spark)
-    files = assigned(spark, sf_dir).select("p_partkey", "pos", "first_pos")
-    write_requests(request_rows(spark, sf_dir).join(files, "p_partkey"), path)
+    write_requests(assigned(spark, sf_dir), _request_line(spark, sf_dir), path)
     return spark.read.text(path).select(
         F.get_json_object("value", "$.custom_id").alias("custom_id"),
         F.col("first_pos").cast("long").alias("first_pos"),

@@ -60,10 +60,13 @@ def with_prices(
 def pair_requests(requests: DataFrame, results: DataFrame) -> DataFrame:
     """Prompt and completion by id; the label list stands in for lost text.
 
-    requests(id, prompt, ...), results(id, completion, categories).
+    requests(id, prompt, ...), results(id, completion, categories). Results of
+    one id are reduced to one before the join, so requests never multiply.
     """
     labels = F.concat(F.lit("['"), F.array_join("categories", "', '"), F.lit("']"))
-    answers = results.select("id", F.coalesce("completion", labels).alias("completion"))
+    answers = results.groupBy("id").agg(
+        F.max(F.coalesce("completion", labels)).alias("completion")
+    )
     return requests.join(answers, "id")
 
 

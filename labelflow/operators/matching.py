@@ -17,11 +17,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import WHITESPACE
-from labelflow.storage import rows_if_at_most
+from labelflow.storage import materialise, rows_if_at_most
 
 TOPIC_EDITS = 2
 SYNONYM_EDITS = 1
@@ -57,7 +57,11 @@ class Vocabulary:
         synonyms: DataFrame | None = None,
         inline_limit: int = INLINE_LABELS,
     ) -> "Vocabulary":
-        """Look at both tables once; small ones are kept as local tables."""
+        """Look at both tables once.
+
+        Small ones are kept as local tables. Large ones are stored, so that the
+        planner knows their true size before it thinks of broadcasting.
+        """
         spark = topics.sparkSession
         topics = topics.select("pos", "topic")
         if synonyms is None:
@@ -68,10 +72,13 @@ class Vocabulary:
         topic_rows = rows_if_at_most(topics, inline_limit)
         synonym_rows = rows_if_at_most(synonyms, inline_limit)
         keys = None
-        if topic_rows is not None:
-            topics = spark.createDataFrame(topic_rows, topics.schema)
-        if synonym_rows is not None:
-            synonyms = spark.createDataFrame(synonym_rows, synonyms.schema)
+
+        def kept(table: DataFrame, rows: list[Row] | None) -> DataFrame:
+            if rows is None:
+                return materialise(table)
+            return spark.createDataFrame(rows, table.schema)
+
+        topics, synonyms = kept(topics, topic_rows), kept(synonyms, synonym_rows)
         if topic_rows is not None and synonym_rows is not None:
             keys = sum(_key_bound(r["topic"], TOPIC_EDITS) for r in topic_rows)
             keys += sum(_key_bound(r["synonym"], SYNONYM_EDITS) for r in synonym_rows)

@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 
 
 def pending_items(items: DataFrame, done: DataFrame) -> DataFrame:
-    """Items without a result: what remains after a resume."""
-    return items.join(done.select("id"), "id", "left_anti").select(*items.columns)
+    """Items without a result: what remains after a resume.
+
+    Finished ids are made distinct first, so an id that was finished very often
+    is reduced before the shuffle.
+    """
+    finished = done.select("id").distinct()
+    return items.join(finished, "id", "left_anti").select(*items.columns)
 
 
 def filtered_items(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -31,5 +36,11 @@ def latest_results(*runs: DataFrame) -> DataFrame:
 
 
 def with_source(results: DataFrame, items: DataFrame) -> DataFrame:
-    """Results next to the columns of their items."""
-    return results.join(items, "id", "left")
+    """Results next to the columns of their items.
+
+    If an id names several items, the first by content stands for it: a result
+    never multiplies, not even for a missing id that many rows share.
+    """
+    rest = [c for c in items.columns if c != "id"]
+    one = items.groupBy("id").agg(F.min(F.struct(*rest)).alias("_i"))
+    return results.join(one.select("id", "_i.*"), "id", "left")

@@ -77,7 +77,7 @@ def _with_list_key(rows: DataFrame) -> DataFrame:
     """Content key of the label list; rows without labels are spread evenly."""
     spread = F.concat(F.lit("none-"), F.pmod(F.xxhash64(*_payload(rows)), _SPREAD))
     key = F.when(F.size("labels") > 0, F.md5(F.to_json("labels"))).otherwise(spread)
-    return rows.withColumn("list_key", key)
+    return with_once(rows, "list_key", key)
 
 
 def _payload(rows: DataFrame) -> list[str]:

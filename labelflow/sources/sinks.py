@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,16 +30,17 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     )
 
 
-def write_requests(requests: DataFrame, path: str) -> None:
+def write_requests(rows: DataFrame, line: Column, path: str) -> None:
     """One folder with one file of request lines per ``first_pos``.
 
-    A file is limited in rows and bytes, so one task can write it.
+    A file is limited in rows and bytes, so one task can write it. ``line`` is
+    rendered after the shuffle: the long prompts are never moved.
     """
     (
-        requests.where(F.col("first_pos").isNotNull())
+        rows.where(F.col("first_pos").isNotNull())
         .repartition("first_pos")
         .sortWithinPartitions("first_pos", "pos")
-        .select("first_pos", F.col("line").alias("value"))
+        .select("first_pos", line.alias("value"))
         .write.partitionBy("first_pos")
         .text(path)
     )
