@@ -11,7 +11,7 @@ from labelflow.operators.monitoring import request_counts as count_requests
 from labelflow.plans.normalize import normalize
 from labelflow.sources import batches as B
 from labelflow.sources.sinks import write_batches
-from labelflow.storage import scratch_dir
+from labelflow.storage import materialise, scratch_dir
 
 DEFAULT_MODEL = "gpt-4.1-nano"
 
@@ -112,7 +112,8 @@ def existing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("b"), batch.cast("string")).alias("batch_id"),
         _json(custom_id=F.col("id"), response=response).alias("line"),
     )
-    results = B.batch_results(_written(spark, rows), DEFAULT_MODEL)
+    # The normalizer reads its input twice: store the parsed lines once.
+    results = materialise(B.batch_results(_written(spark, rows), DEFAULT_MODEL))
     out = normalize(results, d.vocabulary(spark, sf_dir))
     return out.select(
         "id", "batch_id", "model_name",

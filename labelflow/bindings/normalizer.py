@@ -48,7 +48,7 @@ def protect_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = d.responses(spark, sf_dir).withColumn(
         "raw_response", F.translate("raw_response", '"', "")
     )
-    out = N.protected_labels(rows, d.topics(spark, sf_dir))
+    out = N.protected_labels(rows, M.Vocabulary.of(d.topics(spark, sf_dir)))
     return out.select("id", _joined("labels"))
 
 

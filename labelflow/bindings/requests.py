@@ -176,10 +176,10 @@ def format_prompt_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _request_line(spark: SparkSession, sf_dir: str) -> Column:
-    """One request per part; every 97th is oversized."""
+    """One request per part; every 997th is oversized."""
     key = F.col("p_partkey")
     template = F.lit(_template(spark, sf_dir))
-    prompt = F.when(key % 97 == 5, F.repeat(template, F.lit(1000))).otherwise(template)
+    prompt = F.when(key % 997 == 5, F.repeat(template, F.lit(1000))).otherwise(template)
     return P.request_line(P.request(key, prompt, "gpt-4.1-nano"))
 
 
@@ -275,7 +275,7 @@ def sql_request(custom_id: str, prompt: str) -> str:
 
 _SIZED_SQL = f"""{_TYPES_SQL},
 lines AS (
-  SELECT p_partkey, {sql_request('p_partkey', f'''CASE WHEN p_partkey % 97 = 5
+  SELECT p_partkey, {sql_request('p_partkey', f'''CASE WHEN p_partkey % 997 = 5
     THEN repeat({_FILLED_SQL}, 1000) ELSE {_FILLED_SQL} END''')} AS line
   FROM part, types
 ),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -134,27 +135,32 @@ _HIDDEN_TO = "".join(chr(0xE000 + i) for i in range(len(_HIDDEN_FROM)))
 _JOINER = "\ue0ff"
 
 
-def hide_separators(label: Column) -> Column:
+_HIDE = str.maketrans(_HIDDEN_FROM, _HIDDEN_TO)
+
+
+def hide_separators(label: str) -> str:
     """Swap the separators inside a label for private-use characters."""
-    swapped = F.translate(label, _HIDDEN_FROM, _HIDDEN_TO)
-    return F.replace(swapped, F.lit("TAB"), F.lit(f"T{_JOINER}AB"))
+    return label.translate(_HIDE).replace("TAB", f"T{_JOINER}AB")
 
 
 def show_separators(label: Column) -> Column:
     return F.translate(label, _HIDDEN_TO + _JOINER, _HIDDEN_FROM)
 
 
-def needs_protection(label: Column) -> Column:
-    """True for vocabulary entries that the splitter would tear apart."""
-    return hide_separators(label) != label
-
-
-def protected_label_list(raw: Column, entries: Column) -> Column:
+def protected_label_list(raw: Column, entries: Sequence[str]) -> Column:
     """Like ``label_list`` but vocabulary entries holding separators stay whole.
 
-    ``entries`` is an array of such vocabulary entries, longest first.
+    Longer entries are tried first.
     """
+    torn = sorted(
+        {e for e in entries if hide_separators(e) != e}, key=lambda e: (-len(e), e)
+    )
+    if not torn:
+        return label_list(raw)
+    pairs = F.array(
+        *[F.struct(F.lit(e).alias("e"), F.lit(hide_separators(e)).alias("h")) for e in torn]
+    )
     hidden = F.aggregate(
-        entries, raw, lambda text, e: F.replace(text, e, hide_separators(e))
+        pairs, raw, lambda text, p: F.replace(text, p["e"], p["h"])
     )
     return F.transform(label_list(hidden), show_separators)

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelflow.functions.labels import bare, label_list, protected_label_list
-from labelflow.functions.labels import needs_protection
 from labelflow.functions.once import with_once
 from labelflow.operators.matching import INLINE_LABELS, Vocabulary, match_misses
 from labelflow.storage import materialise
@@ -37,27 +36,14 @@ def with_labels(responses: DataFrame, labels: Column | None = None) -> DataFrame
     return with_once(responses, "labels", out)
 
 
-def protected_entries(topics: DataFrame) -> Column:
-    """Vocabulary entries to keep whole, longest first, as one array value."""
-    entries = topics.where(needs_protection(F.col("topic"))).agg(
-        F.sort_array(
-            F.collect_set(F.struct(F.length("topic").alias("n"), "topic")), False
-        )["topic"]
-    )
-    return entries.scalar()
-
-
-def protected_labels(responses: DataFrame, topics: DataFrame) -> DataFrame:
+def protected_labels(responses: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``with_labels`` that keeps vocabulary entries holding separators whole."""
-    vocabulary = Vocabulary.of(topics)
     if vocabulary.names is None:
         raise ValueError(
             f"label protection needs a vocabulary of at most {INLINE_LABELS} entries"
         )
-    entries = protected_entries(vocabulary.topics)
-    rows = responses.withColumn("_entries", entries)
-    labels = protected_label_list(F.col("raw_response"), F.col("_entries"))
-    return with_labels(rows, labels).drop("_entries")
+    labels = protected_label_list(F.col("raw_response"), vocabulary.names)
+    return with_labels(responses, labels)
 
 
 def _distinct_bare(labels: Column) -> Column:
@@ -194,7 +180,7 @@ def normalize(
     ``hallucinations`` is null where a row has no labels at all.
     """
     if protect_comma_labels:
-        rows = protected_labels(responses, vocabulary.topics)
+        rows = protected_labels(responses, vocabulary)
     else:
         rows = with_labels(responses)
     matches = materialise(

@@ -3,8 +3,6 @@ from __future__ import annotations
 import random
 import re
 
-from pyspark.sql import functions as F
-
 from labelflow.functions import labels as L
 from labelflow.functions.text import WHITESPACE
 
@@ -100,7 +98,7 @@ def test_protected_labels_stay_whole(column):
     names = ["Allergy, clinical - immunology", "X-ray diffraction", "DATABASE"]
 
     def protected(raw):
-        return L.protected_label_list(raw, F.array(*[F.lit(n) for n in names]))
+        return L.protected_label_list(raw, names)
 
     texts = [
         "X-ray diffraction, Allergy, clinical - immunology; DATABASE",
