@@ -225,14 +225,14 @@ SELECT id, model, CAST(input_price AS DOUBLE) AS input_price,
     "request_cost": f"""{_facts('non_batch')}
 SELECT id AS request_id, round(cost, 9) AS cost FROM metrics""",
     "request_metrics": f"""{_facts('non_batch')}
-SELECT id AS request_id, model, runtime, n_in AS prompt_tokens,
-       n_done AS completion_tokens, error, 'non_batch' AS pricing_mode,
+SELECT id AS request_id, model, runtime, CAST(n_in AS INTEGER) AS prompt_tokens,
+       CAST(n_done AS INTEGER) AS completion_tokens, error, 'non_batch' AS pricing_mode,
        round(cost, 9) AS cost FROM metrics""",
     "batch_metrics": f"""{_facts('batch')}
 SELECT 'b' || conv_id AS batch_id, count(*) AS num_samples,
   epoch(max(ended_at)) - epoch(min(started_at)) AS runtime, max(error) AS error,
-  'batch' AS pricing_mode, sum(n_in) AS total_input_tokens,
-  sum(n_out) AS total_output_tokens,
+  'batch' AS pricing_mode, CAST(sum(n_in) AS BIGINT) AS total_input_tokens,
+  CAST(sum(n_out) AS BIGINT) AS total_output_tokens,
   CASE WHEN conv_id % 11 = 0 THEN 0.5 ELSE round(sum(n_in) / 1e6 * max(input_price)
     + sum(n_out) / 1e6 * max(output_price), 9) END AS cost,
   round(sum(n_in) / count(*), 6) AS average_input_tokens,

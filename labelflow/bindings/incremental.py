@@ -333,7 +333,7 @@ FROM answered""",
     CASE WHEN bad THEN 0 ELSE len(regexp_extract_all(answer, '[a-z]+')) END AS n_out
   FROM answered)
 SELECT CASE WHEN bad THEN 'model failed' END AS error, count(*) AS n_requests,
-  sum(n_in) AS prompt_tokens, round(sum(n_in / 1e6 * 2.5 + n_out / 1e6 * 10), 8) AS cost,
+  CAST(sum(n_in) AS BIGINT) AS prompt_tokens, round(sum(n_in / 1e6 * 2.5 + n_out / 1e6 * 10), 8) AS cost,
   true AS timed
 FROM counted GROUP BY bad""",
     "dead_letter": f"WITH {_ASKED} SELECT id, 'model failed' AS error FROM answered WHERE bad",

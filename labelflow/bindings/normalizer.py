@@ -178,7 +178,7 @@ candidates AS (
 def _match_sql(ranks: str) -> str:
     return f"""WITH {PARTITION_SQL}, {MATCH_SQL}
 SELECT miss, label, CASE rank WHEN 0 THEN 'topic' WHEN 1 THEN 'synonym'
-         WHEN 2 THEN 'topic token' ELSE 'synonym token' END AS kind, d AS distance
+         WHEN 2 THEN 'topic token' ELSE 'synonym token' END AS kind, CAST(d AS INTEGER) AS distance
 FROM candidates WHERE rank IN ({ranks})
 QUALIFY row_number() OVER (PARTITION BY miss ORDER BY rank, d, pos) = 1"""
 

@@ -341,11 +341,12 @@ SELECT id, {sql_request('id', 'p')} AS line FROM cut""",
     "chunk_by_bytes": f"""WITH {_ASSIGNED_SQL}
 SELECT p_partkey, pos, first_pos FROM assigned""",
     "chunk_summary": f"""WITH {_ASSIGNED_SQL}
-SELECT first_pos, count(*) AS chunk_size, sum(nbytes) + count(*) - 1 AS n_bytes,
+SELECT first_pos, count(*) AS chunk_size,
+       CAST(sum(nbytes) + count(*) - 1 AS BIGINT) AS n_bytes,
        (SELECT max(chunk) + 1 FROM sized) AS total_chunks
 FROM assigned WHERE first_pos IS NOT NULL GROUP BY first_pos""",
     "sink_requests": f"""WITH {_ASSIGNED_SQL}
-SELECT CAST(p_partkey AS VARCHAR) AS custom_id, first_pos, nbytes
+SELECT CAST(p_partkey AS VARCHAR) AS custom_id, first_pos, CAST(nbytes AS INTEGER) AS nbytes
 FROM assigned WHERE first_pos IS NOT NULL""",
     "sample_n": """SELECT p_partkey, p_name FROM part
 ORDER BY md5('seed-1-' || p_partkey), p_partkey LIMIT 10""",

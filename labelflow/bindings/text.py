@@ -157,7 +157,7 @@ ORACLE = {
     "clean_text": f"""WITH {TEXTS_SQL}, cleaned AS (SELECT id, {CLEAN} AS c FROM texts)
 SELECT id, CASE WHEN length(c) < 30 THEN 'No text provided' ELSE c END AS text
 FROM cleaned""",
-    "token_count": _sql(sql_tokens("text"), "n_tokens"),
+    "token_count": _sql(f"CAST({sql_tokens('text')} AS INTEGER)", "n_tokens"),
     "truncate_tokens": _sql(_sql_keep("text", "100")),
     "truncate_to_budget": f"""WITH {TEXTS_SQL}, limited AS (
   SELECT id, coalesce(text, '') AS t,

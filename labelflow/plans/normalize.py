@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from labelflow.functions.labels import bare, label_list, protected_label_list
 from labelflow.functions.once import with_once
 from labelflow.operators.matching import INLINE_LABELS, Vocabulary, match_misses
-from labelflow.storage import materialise
+from labelflow.storage import materialise, spread
 
 # A match table within both bounds is looked up inside the row.
 INLINE_MATCHES = 20_000
@@ -33,7 +33,7 @@ def with_labels(responses: DataFrame, labels: Column | None = None) -> DataFrame
     out = label_list(F.col("raw_response")) if labels is None else labels
     if "categories" in responses.columns:
         out = F.coalesce(out, F.col("categories"))
-    return with_once(responses, "labels", out)
+    return with_once(spread(responses), "labels", out)
 
 
 def protected_labels(responses: DataFrame, vocabulary: Vocabulary) -> DataFrame:
