@@ -11,7 +11,7 @@ from labelflow.operators.monitoring import request_counts as count_requests
 from labelflow.plans.normalize import normalize
 from labelflow.sources import batches as B
 from labelflow.sources.sinks import write_batches
-from labelflow.storage import materialise, scratch_dir
+from labelflow.storage import materialise, scratch_dir, spread
 
 DEFAULT_MODEL = "gpt-4.1-nano"
 
@@ -114,7 +114,7 @@ def existing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # The normalizer reads its input twice: store the parsed lines once.
     results = materialise(B.batch_results(_written(spark, rows), DEFAULT_MODEL))
-    out = normalize(results, d.vocabulary(spark, sf_dir))
+    out = normalize(spread(results), d.vocabulary(spark, sf_dir))
     return out.select(
         "id", "batch_id", "model_name",
         F.array_join("categories", "~").alias("categories"),

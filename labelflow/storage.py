@@ -42,8 +42,9 @@ def rows_if_at_most(df: DataFrame, limit: int) -> list[Row] | None:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table that sits in fewer partitions than there are cores.
 
-    Meant for a scan that feeds CPU-heavy expressions. A large table already has
-    more partitions than cores and is left alone, without a shuffle.
+    Only for a plain scan that feeds CPU-heavy expressions: counting the
+    partitions of a table behind a shuffle would run that shuffle. A large table
+    already has more partitions than cores and is left alone, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
