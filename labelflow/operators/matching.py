@@ -209,12 +209,23 @@ def _probe_keys(text: Column, longest: Column, kinds: tuple[int, ...]) -> Column
 
 
 def _dictionary(vocabulary: Vocabulary, kinds: tuple[int, ...]) -> DataFrame:
-    """(key, kind, pos, entry, target), one row per key of an entry."""
+    """(key, kind, pos, entry, target), one row per key of an entry.
+
+    Topics and synonyms may be ordered by columns of different types, so ``pos``
+    has a place for each; entries of the two are never compared with each other.
+    """
+    at, none = F.col("pos"), F.lit(None)
+    topic_type = vocabulary.topics.schema["pos"].dataType
+    synonym_type = vocabulary.synonyms.schema["pos"].dataType
     topics = vocabulary.topics.select(
-        "pos", F.col("topic").alias("entry"), F.col("topic").alias("target")
+        F.struct(at.alias("t"), none.cast(synonym_type).alias("s")).alias("pos"),
+        F.col("topic").alias("entry"),
+        F.col("topic").alias("target"),
     )
     synonyms = vocabulary.synonyms.select(
-        "pos", F.col("synonym").alias("entry"), F.col("label").alias("target")
+        F.struct(none.cast(topic_type).alias("t"), at.alias("s")).alias("pos"),
+        F.col("synonym").alias("entry"),
+        F.col("label").alias("target"),
     )
     entry = F.col("entry")
     word = F.array(_token_key(F.lower(entry)))
@@ -230,7 +241,7 @@ def _dictionary(vocabulary: Vocabulary, kinds: tuple[int, ...]) -> DataFrame:
         part = table.select(
             F.explode(F.array_distinct(keys)).alias("key"),
             F.lit(kind).alias("kind"),
-            F.struct("pos").alias("pos"),
+            "pos",
             "entry",
             "target",
         )

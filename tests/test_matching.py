@@ -5,6 +5,7 @@ import random
 import pytest
 
 from labelflow.operators import matching as M
+from labelflow.sources import vocabulary as V
 
 
 def distance(a: str, b: str) -> int:
@@ -98,6 +99,22 @@ def test_tie_goes_to_the_earlier_entry(spark):
     assert (row["label"], row["kind"], row["distance"]) == ("new rod", "topic", 1)
 
 
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_topics_and_synonyms_may_be_ordered_differently(spark, tmp_path, limit):
+    (tmp_path / "t.txt").write_text("Biology\nChemistry\n")
+    (tmp_path / "s.csv").write_text(
+        "Class ID,Preferred Label,Synonyms\ntopic_1,Biology,Life science|Bio\n"
+    )
+    vocabulary = M.Vocabulary.of(
+        V.read_topics(spark, str(tmp_path / "t.txt")),
+        V.read_synonyms(spark, str(tmp_path / "s.csv")),
+        inline_limit=limit,
+    )
+    misses = spark.createDataFrame([("Chemistri",), ("life science",), ("the bio",)], "miss string")
+    got = {r["miss"]: r["label"] for r in M.match_misses(misses, vocabulary).collect()}
+    assert got == {"Chemistri": "Chemistry", "life science": "Biology", "the bio": "Biology"}
+
+
 def test_empty_vocabulary(spark):
     topics = spark.createDataFrame([], "pos long, topic string")
     misses = spark.createDataFrame([("a",)], "miss string")
