@@ -186,7 +186,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model |
     """Fit on a sample of at most TRAIN_ROWS labelled documents.
 
     A doc_id with several labels has the least of them, one with several texts
-    that of the least hash; null ids and labels are left out. Three quarters fit the weights, the rest the calibration. Their
+    that of the least hash; null ids and labels are left out. Three quarters, by hashed id, fit the weights, the rest the calibration. Their
     features, at most FEATURES numbers a row, are computed in tasks. None if
     there are not two rows of each class in both parts.
     """
@@ -225,7 +225,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model |
         (np.frombuffer(f, np.int32), np.frombuffer(v, np.float32))
         for f, v in zip(rows.column("features").to_pylist(), rows.column("values").to_pylist())
     ]
-    held = np.arange(len(good)) % 4 == 3
+    held = mix(rows.column("id").to_numpy().astype(np.uint64)) % np.uint64(4) == 3
     for part in (good[held], good[~held]):
         if min(part.sum(), (~part).sum()) < 2:
             return None
