@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import TokenCounter, token_count
+from labelflow.storage import materialise
 
 # US dollars per million tokens (model, mode, input, output).
 PRICES = [
@@ -67,7 +68,7 @@ def pair_requests(requests: DataFrame, results: DataFrame) -> DataFrame:
     answers = results.groupBy("id").agg(
         F.max(F.coalesce("completion", labels)).alias("completion")
     )
-    return requests.join(answers, "id")
+    return requests.join(materialise(answers), "id")
 
 
 def token_cost(prompt_tokens: Column, completion_tokens: Column) -> Column:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from labelflow.functions import status as S
 from labelflow.operators.costs import seconds_between
+from labelflow.storage import materialise
 
 
 def with_elapsed(ledger: DataFrame, as_of: Column) -> DataFrame:
@@ -84,8 +85,8 @@ def status_lines(ledger: DataFrame, as_of: Column) -> DataFrame:
 
 def validate_ids(requested: DataFrame, ledger: DataFrame) -> DataFrame:
     """Requested ids with ``valid``: does the ledger know them."""
-    known = ledger.select("batch_id", F.lit(True).alias("_known")).dropDuplicates(
-        ["batch_id"]
+    known = materialise(
+        ledger.select("batch_id").distinct().select("batch_id", F.lit(True).alias("_known"))
     )
     return requested.join(known, "batch_id", "left").select(
         "batch_id", F.coalesce("_known", F.lit(False)).alias("valid")

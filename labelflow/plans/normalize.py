@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from labelflow.functions.labels import bare, label_list, protected_label_list
 from labelflow.functions.once import with_once
 from labelflow.operators.matching import INLINE_LABELS, Vocabulary, match_misses
+from labelflow.operators.results import content_hash
 from labelflow.storage import materialise
 
 # A match table within both bounds is looked up inside the row.
@@ -61,20 +62,19 @@ def _split_inline(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 def _with_list_key(rows: DataFrame) -> DataFrame:
     """Content key of the label list; rows without labels are spread evenly."""
-    spread = F.concat(F.lit("none-"), F.pmod(F.xxhash64(*_payload(rows)), _SPREAD))
-    key = F.when(F.size("labels") > 0, F.md5(F.to_json("labels"))).otherwise(spread)
+    spread = F.pmod(content_hash(rows, rows.columns), F.lit(_SPREAD))
+    key = F.when(F.size("labels") > 0, F.md5(F.to_json("labels"))).otherwise(
+        F.concat(F.lit("none-"), spread)
+    )
     return with_once(rows, "list_key", key)
 
 
-def _payload(rows: DataFrame) -> list[str]:
-    return [c for c, t in rows.dtypes if t == "string"]
-
-
-def _list_elements(rows: DataFrame) -> DataFrame:
-    """(list_key, i, x, bare) for each distinct non-empty label list."""
-    lists = rows.select("list_key", "labels").dropDuplicates(["list_key"])
-    return lists.select("list_key", F.posexplode("labels").alias("i", "x")).withColumn(
-        "bare", bare(F.col("x"))
+def _distinct_lists(keyed: DataFrame) -> DataFrame:
+    """(list_key, labels): every distinct non-empty label list, stored."""
+    return materialise(
+        keyed.where(F.size("labels") > 0)
+        .groupBy("list_key")
+        .agg(F.first("labels").alias("labels"))
     )
 
 
@@ -89,23 +89,34 @@ def distinct_misses(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return labels.distinct().join(topics, "miss", "left_anti")
 
 
-def _resolve_lists(
-    rows: DataFrame, vocabulary: Vocabulary, matches: DataFrame | None
-) -> DataFrame:
-    """(list_key, valid, misses, matched) for each distinct label list."""
-    elements = _list_elements(rows)
+def _resolutions(vocabulary: Vocabulary, matches: DataFrame | None) -> DataFrame:
+    """(bare, known, match): what each label that is known or matched stands for.
+
+    A matched label is outside the vocabulary, so ``bare`` is unique.
+    """
     known = vocabulary.topics.select(
-        F.col("topic").alias("bare"), F.lit(True).alias("known")
+        F.col("topic").alias("bare"), F.lit(True).alias("known"), F.lit(None).cast("string").alias("match")
     ).dropDuplicates(["bare"])
-    joined = elements.join(known, "bare", "left")
-    if matches is None:
-        joined = joined.withColumn("match", F.lit(None).cast("string"))
-    else:
-        joined = joined.join(
-            matches.select(F.col("miss").alias("bare"), F.col("label").alias("match")),
-            "bare",
-            "left",
+    if matches is not None:
+        found = matches.select(
+            F.col("miss").alias("bare"), F.lit(None).cast("boolean").alias("known"), F.col("label").alias("match")
         )
+        known = known.union(found)
+    return materialise(known)
+
+
+def _resolve_lists(
+    lists: DataFrame, vocabulary: Vocabulary, matches: DataFrame | None
+) -> DataFrame:
+    """(list_key, valid, misses, matched) for each distinct label list, stored.
+
+    Labels are resolved in one join whose sides are plain, so that a label in
+    very many lists is split.
+    """
+    elements = lists.select("list_key", F.posexplode("labels").alias("i", "x")).withColumn(
+        "bare", bare(F.col("x"))
+    )
+    joined = elements.join(_resolutions(vocabulary, matches), "bare", "left")
     items = F.sort_array(F.collect_list(F.struct("i", "x", "bare", "known", "match")))
     grouped = joined.groupBy("list_key").agg(items.alias("items"))
     missing = F.filter("items", lambda e: e["known"].isNull())
@@ -115,13 +126,15 @@ def _resolve_lists(
         F.filter("missing", lambda e: e["match"].isNotNull()),
         lambda e: F.concat(e["bare"], F.lit("\x00"), e["match"]),
     )
-    return grouped.withColumn("missing", missing).select(
-        "list_key",
-        F.filter("items", lambda e: e["known"])["x"].alias("valid"),
-        F.array_distinct("missing.bare").alias("misses"),
-        F.transform(
-            F.array_distinct(pair), lambda p: F.substring_index(p, "\x00", -1)
-        ).alias("matched"),
+    return materialise(
+        grouped.withColumn("missing", missing).select(
+            "list_key",
+            F.filter("items", lambda e: e["known"])["x"].alias("valid"),
+            F.array_distinct("missing.bare").alias("misses"),
+            F.transform(
+                F.array_distinct(pair), lambda p: F.substring_index(p, "\x00", -1)
+            ).alias("matched"),
+        )
     )
 
 
@@ -133,7 +146,7 @@ def partition_labels(
     if vocabulary.names is not None:
         return _split_inline(rows, vocabulary)
     rows = _with_list_key(rows)
-    lists = _resolve_lists(rows, vocabulary, None).drop("matched")
+    lists = _resolve_lists(_distinct_lists(rows), vocabulary, None).drop("matched")
     none = F.array().cast("array<string>")
     return (
         rows.join(lists, "list_key", "left")
@@ -183,10 +196,14 @@ def normalize(
         rows = protected_labels(responses, vocabulary)
     else:
         rows = with_labels(responses)
+    keyed = lists = None
+    if vocabulary.names is None:
+        keyed = _with_list_key(rows)
+        lists = _distinct_lists(keyed)
     matches = materialise(
-        match_misses(distinct_misses(rows, vocabulary), vocabulary).select(
-            "miss", "label"
-        )
+        match_misses(
+            distinct_misses(rows if lists is None else lists, vocabulary), vocabulary
+        ).select("miss", "label")
     )
     size = matches.agg(
         F.count("*").alias("n"), F.sum(F.length("miss") + F.length("label")).alias("c")
@@ -206,10 +223,11 @@ def normalize(
         )
         resolved = split.withColumn("matched", F.coalesce(matched, none))
     else:
-        keyed = _with_list_key(rows)
-        lists = _resolve_lists(keyed, vocabulary, matches)
+        if lists is None:
+            keyed = _with_list_key(rows)
+            lists = _distinct_lists(keyed)
         resolved = (
-            keyed.join(lists, "list_key", "left")
+            keyed.join(_resolve_lists(lists, vocabulary, matches), "list_key", "left")
             .withColumn("valid", F.coalesce("valid", none))
             .withColumn("matched", F.coalesce("matched", none))
         )

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
@@ -11,15 +14,40 @@ from pyspark.sql import DataFrame, Row, SparkSession
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder the cluster names.
 
-    Only a local session may fall back to a machine-local folder.
+    Only a session whose tasks run in the driver's own process may go without
+    that setting; it then gets a folder for all its scratch tables.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a shared folder")
         root = tempfile.mkdtemp(prefix="labelflow-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/labelflow-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/labelflow-{uuid.uuid4().hex}"
+    for made in _watching:
+        made.append(path)
+    return path
+
+
+_watching: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, every scratch table that was made inside.
+
+    Results that are read from them must be written or collected before.
+    """
+    made: list[str] = []
+    _watching.append(made)
+    try:
+        yield
+    finally:
+        _watching.remove(made)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in made:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(hadoop).delete(folder, True)
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -29,7 +57,7 @@ def materialise(df: DataFrame) -> DataFrame:
     the true size of the table.
     """
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
