@@ -2,47 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.bindings import derived as d
 from labelflow.bindings import normalizer as N
 from labelflow.bindings.costs import samples
-from labelflow.bindings.requests import prompt_topics
+from labelflow.bindings.models import FlakyModel, TermModel, TitleModel
+from labelflow.bindings.requests import topic_table
 from labelflow.functions.prompts import fill, metadata_field
 from labelflow.operators import costs as C
 from labelflow.operators import results as R
-from labelflow.operators.infer import TermModel, infer
+from labelflow.operators.infer import infer
 from labelflow.operators.matching import Vocabulary
 from labelflow.plans import label as L
-from labelflow.storage import materialise, scratch_dir
+from labelflow.storage import scratch_dir
 from labelflow.streaming import incremental as S
 
 TEMPLATE = "<title>: <abstract>"
 
 
-class TitleModel(TermModel):
-    """Names the terms of the prompt and misspells its title."""
-
-    def __call__(self, prompts: Sequence[str]) -> list[str]:
-        terms = super().__call__(prompts)
-        return [f"{t}\t{p.split(': ')[0]}x" for t, p in zip(terms, prompts)]
-
-
-class FlakyModel(TermModel):
-    """Fails on the first call of each prompt, and always on some."""
-
-    def __init__(self, terms: Sequence[str]):
-        super().__init__(terms)
-        self.last = None
-
-    def __call__(self, prompts: Sequence[str]) -> list[str]:
-        first, self.last = self.last != prompts[0], prompts[0]
-        if first or "promo" in prompts[0]:
-            raise RuntimeError("model failed")
-        return super().__call__(prompts)
+def prompt_topics(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The terms that the stand-in models know."""
+    return sorted(r["topic"] for r in topic_table(spark, sf_dir).toLocalIterator())
 
 
 def _to_items(parts: DataFrame) -> DataFrame:
@@ -123,7 +105,6 @@ def _labeller(terms: list[str], vocabulary: Vocabulary):
             vocabulary,
             TEMPLATE,
             _fields(),
-            save=materialise,
             rows_per_call=64,
         )
         return out.select("id", "categories", "hallucinations")
@@ -131,7 +112,7 @@ def _labeller(terms: list[str], vocabulary: Vocabulary):
     return run
 
 
-RESULT_SCHEMA = "id string, categories array<string>, hallucinations array<string>"
+RESULT_SCHEMA = "id string, categories array<string>, hallucinations array<string>, epoch long"
 
 
 def _shown(results: DataFrame) -> DataFrame:
@@ -145,7 +126,6 @@ def _shown(results: DataFrame) -> DataFrame:
 def label_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = d.vocabulary(spark, sf_dir)
     items = part_items(spark, sf_dir)
-    L.check_inputs(items, vocabulary)
     return _shown(_labeller(prompt_topics(spark, sf_dir), vocabulary)(items))
 
 
@@ -163,14 +143,14 @@ def stream_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resume_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Half of the parts arrive, are labelled, and the other half follows."""
+    """Half of the parts arrive and are labelled; the other half follows, with
+    every third part of the first half once more."""
     work = scratch_dir(spark)
-    parts = d.table(spark, sf_dir, "part")
-    for half in (0, 1):
-        rows = parts.where(F.col("p_partkey") % 2 == half)
-        rows.coalesce(1).write.mode("append").parquet(f"{work}/in")
+    parts, key = d.table(spark, sf_dir, "part"), F.col("p_partkey")
+    for arrived in (key % 2 == 0, (key % 2 == 1) | (key % 3 == 0)):
+        parts.where(arrived).coalesce(1).write.mode("append").parquet(f"{work}/in")
         out = _stream(spark, sf_dir, f"{work}/in", "*.parquet", work)
-    return _shown(out)
+    return _shown(S.latest_per_id(out))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -220,9 +200,13 @@ def recover_results(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_with_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results next to whole items: text and metadata."""
     items, done = _documents(spark, sf_dir)
     shifted = done.withColumn("id", F.col("id") + 1)
-    return R.with_source(shifted, items.select("id", "source"))
+    items = items.select("id", "text", F.create_map(F.lit("source"), "source").alias("metadata"))
+    return R.with_source(shifted, items).select(
+        "id", "quality", "text", F.try_element_at("metadata", F.lit("source")).alias("source")
+    )
 
 
 EVENTS = (
@@ -254,12 +238,6 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id long, cpu_percent double").parquet(f"{work}/out")
 
 
-WINDOW_SCHEMA = (
-    "window_start timestamp, window_end timestamp, n_samples long, peak_cpu double,"
-    " avg_cpu double, peak_memory double, avg_memory double"
-)
-
-
 def _shown_windows(windows: DataFrame) -> DataFrame:
     return windows.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"),
@@ -272,11 +250,10 @@ def _shown_windows(windows: DataFrame) -> DataFrame:
 
 
 def resource_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Six-hour windows of a stream, as far as they are closed."""
+    """Six-hour windows of a stream, the last, open one included."""
     work = scratch_dir(spark)
     windows = S.resource_windows(_event_stream(spark, sf_dir), "6 hours")
-    S.append_once(windows, f"{work}/out", f"{work}/state")
-    return _shown_windows(spark.read.schema(WINDOW_SCHEMA).parquet(f"{work}/out"))
+    return _shown_windows(S.replace_once(windows, f"{work}/out", f"{work}/state"))
 
 
 def resource_windows_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,14 +328,13 @@ WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
   CASE WHEN doc_id % 3 > 0 THEN '2024-01-02 00:00:00~' ELSE '2024-01-01 00:00:00~' END
     || source AS categories
 FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 > 0""",
-    "results_with_source": """SELECT l.doc_id + 1 AS id, quality, source
+    "results_with_source": """SELECT l.doc_id + 1 AS id, quality, text, source
 FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id + 1""",
     "stream_dedup": "SELECT event_id, value AS cpu_percent FROM events",
     "resource_windows": f"""WITH w AS (
   SELECT *, time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '2000-01-01') AS start FROM events)
 SELECT strftime(start, '%Y-%m-%d %H:%M') AS window_start, {_WINDOW_COLUMNS}
-FROM w GROUP BY start
-HAVING start + INTERVAL 6 HOURS <= (SELECT max(ts) - INTERVAL 10 MINUTES FROM events)""",
+FROM w GROUP BY start""",
     "resource_windows_sliding": f"""WITH w AS (
   SELECT value, unnest([b, b - INTERVAL 2 HOURS, b - INTERVAL 4 HOURS]) AS start
   FROM (SELECT *, time_bucket(INTERVAL 2 HOURS, ts, TIMESTAMP '2000-01-01') AS b FROM events))

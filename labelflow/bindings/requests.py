@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from labelflow.bindings import derived as d
 from labelflow.functions import prompts as P
 from labelflow.operators import chunking as C
+from labelflow.plans import export as E
 from labelflow.sources import items as I
-from labelflow.sources.sinks import write_requests
-from labelflow.storage import rows_if_at_most, scratch_dir, spread
+from labelflow.storage import scratch_dir, spread
 
-# p_type has a fixed domain, so its list fits a prompt at any scale.
-MAX_PROMPT_TOPICS = 1_000
 TEMPLATE = (
     'Title: "<title>" Summary: "<abstract>" Pick <num_terms> of:\n<topics>\nThanks.'
 )
 ROWS, BYTES = 1_000, 100_000
+# Between the shortest and the longest prompt of the parts.
+CONTEXT_TOKENS = 33
 CONFIGS = {
     "parts": {
         "text_columns": ["p_type", "p_note"],
@@ -70,16 +70,14 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.to_items(part_rows(spark, sf_dir), config)
 
 
-def prompt_topics(spark: SparkSession, sf_dir: str) -> list[str]:
+def topic_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vocabulary of the prompts."""
     types = (
         d.table(spark, sf_dir, "part")
         .select(F.lower("p_type").alias("topic"))
         .distinct()
     )
-    rows = rows_if_at_most(types, MAX_PROMPT_TOPICS)
-    if rows is None:
-        raise ValueError("the vocabulary is too long for a prompt")
-    return sorted(row["topic"] for row in rows)
+    return types
 
 
 def extract_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,8 +131,10 @@ def mapped_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _template(spark: SparkSession, sf_dir: str) -> str:
-    return P.format_template(TEMPLATE, prompt_topics(spark, sf_dir), num_terms=3)
+def _template(spark: SparkSession, sf_dir: str, **values: object) -> Column:
+    """The job's template; a vocabulary of any length becomes a part of it."""
+    topics = P.topic_lines(topic_table(spark, sf_dir))
+    return P.fill(P.format_template(TEMPLATE, ["<topics>"], **values), {"topics": topics})
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,13 +143,13 @@ def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "abstract": F.col("text"),
         "brand": P.metadata_field("brand"),
     }
-    template = _template(spark, sf_dir)
+    template = _template(spark, sf_dir, num_terms=3)
     return items(spark, sf_dir).withColumn("prompt", P.fill(template, fields))
 
 
 def format_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The job template next to each part, with the key as a further value."""
-    template = P.format_template(TEMPLATE, prompt_topics(spark, sf_dir))
+    template = _template(spark, sf_dir)
     return part_rows(spark, sf_dir).select(
         "p_partkey", P.fill(template, {"num_terms": F.col("p_partkey")}).alias("template")
     )
@@ -162,7 +162,7 @@ def format_prompt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def format_prompt_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = {
         "text": F.col("text"),
-        "categories": F.lit(P.bullets(prompt_topics(spark, sf_dir))),
+        "categories": P.topic_lines(topic_table(spark, sf_dir), mark="- "),
     }
     prompt = P.fill("Text: {text}\nOptions:\n{categories}", fields, "{", "}")
     return items(spark, sf_dir).select("id", prompt.alias("prompt"))
@@ -175,56 +175,79 @@ def format_prompt_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _request_line(spark: SparkSession, sf_dir: str) -> Column:
-    """One request per part; every 997th is oversized."""
-    key = F.col("p_partkey")
-    template = F.lit(_template(spark, sf_dir))
-    prompt = F.when(key % 997 == 5, F.repeat(template, F.lit(1000))).otherwise(template)
-    return P.request_line(P.request(key, prompt, "gpt-4.1-nano"))
-
-
 def build_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = P.request(F.col("id"), F.col("prompt"), "gpt-4.1-nano", context_tokens=25)
+    """Requests of all parts; the longer half of the prompts is cut."""
+    record = P.request(
+        F.col("id"), F.col("prompt"), "gpt-4.1-nano", context_tokens=CONTEXT_TOKENS
+    )
     return prompts(spark, sf_dir).select("id", P.request_line(record).alias("line"))
 
 
-def sized_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Positions and sizes only; the request text is not shuffled here."""
-    line = _request_line(spark, sf_dir)
-    sizes = spread(d.table(spark, sf_dir, "part")).select(
-        "p_partkey", F.octet_length(line).cast("long").alias("nbytes")
+def request_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items under the part's own key; the text of every 997th is very long."""
+    rows, config = part_rows(spark, sf_dir), I.DatasetConfig.named(CONFIGS, "parts")
+    text = I.combine_text(rows, config.text_columns)
+    long = F.when(F.col("p_partkey") % 997 == 5, F.repeat(text, F.lit(9_000))).otherwise(text)
+    return rows.select(
+        "p_partkey",
+        F.col("p_partkey").cast("string").alias("id"),
+        long.alias("text"),
+        I.extract_metadata(rows, config.metadata_mapping).alias("metadata"),
     )
-    return C.chunk_by_count(sizes, ["p_partkey"], ROWS)
 
 
-def chunk_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sized_requests(spark, sf_dir).select("p_partkey", "pos", "chunk")
+def _with_line(spark: SparkSession, sf_dir: str):
+    """A step that renders an item's request: template, title and text."""
+    fields = {"title": P.metadata_field("title"), "abstract": F.col("text")}
+    prompt = P.fill(_template(spark, sf_dir, num_terms=3), fields)
+    record = P.request(F.col("id"), F.col("prompt"), "gpt-4.1-nano")
+    return lambda rows: rows.withColumn("prompt", prompt).withColumn(
+        "line", P.request_line(record)
+    ).drop("prompt")
 
 
-def assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sized = sized_requests(spark, sf_dir)
-    return sized.join(C.chunk_by_bytes(sized, BYTES), "pos")
+def chunk_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = request_items(spark, sf_dir).select("p_partkey")
+    return C.chunk_by_count(rows, ["p_partkey"], ROWS).select("p_partkey", "pos", "chunk")
 
 
 def chunk_by_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assigned(spark, sf_dir).select("p_partkey", "pos", "first_pos")
+    """Sizes of whole requests; only key, position and size are grouped."""
+    lines = request_items(spark, sf_dir).transform(_with_line(spark, sf_dir))
+    sizes = lines.select("p_partkey", F.octet_length("line").cast("long").alias("nbytes"))
+    sized = C.chunk_by_count(sizes, ["p_partkey"], ROWS)
+    return C.chunk_by_bytes(sized, BYTES).select("p_partkey", "pos", "first_pos")
+
+
+def exported(spark: SparkSession, sf_dir: str, path: str) -> E.Exported:
+    return E.export_requests(
+        request_items(spark, sf_dir), _with_line(spark, sf_dir), ["p_partkey"], path,
+        ROWS, BYTES,
+    )
 
 
 def chunk_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.chunk_summary(assigned(spark, sf_dir))
+    return exported(spark, sf_dir, scratch_dir(spark)).summary
 
 
 def sink_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the request files, then read them back with their file's name."""
+    """Write the request files, then read their lines back with the file's name."""
     path = scratch_dir(spark)
-    write_requests(assigned(spark, sf_dir), _request_line(spark, sf_dir), path)
-    return spark.read.text(path).select(
+    exported(spark, sf_dir, path)
+    return spark.read.text(f"{path}/requests").select(
         F.get_json_object("value", "$.custom_id").alias("custom_id"),
         F.col("first_pos").cast("long").alias("first_pos"),
-        F.octet_length("value").alias("nbytes"),
+        F.col("value").alias("line"),
     )
 
 
+def rejected_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests over the limit, as written next to the request files."""
+    path = scratch_dir(spark)
+    exported(spark, sf_dir, path)
+    return spark.read.schema("custom_id string, nbytes long").json(f"{path}/rejected")
+
+
 def sample_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten items chosen by a seeded hash: the same ten on every run."""
     rows = d.table(spark, sf_dir, "part").select("p_partkey", "p_name")
@@ -246,6 +269,7 @@ QUERIES = {
     "chunk_by_bytes": chunk_by_bytes,
     "chunk_summary": chunk_summary,
     "sink_requests": sink_requests,
+    "rejected_requests": rejected_requests,
     "sample_n": sample_n,
 }
 
@@ -273,11 +297,12 @@ def sql_request(custom_id: str, prompt: str) -> str:
   'messages': [{{'role': 'user', 'content': {prompt}}}], 'max_tokens': 248}}}}) AS VARCHAR)"""
 
 
-_SIZED_SQL = f"""{_TYPES_SQL},
+_SIZED_SQL = f"""{PARTS_SQL}, {_TYPES_SQL},
 lines AS (
-  SELECT p_partkey, {sql_request('p_partkey', f'''CASE WHEN p_partkey % 997 = 5
-    THEN repeat({_FILLED_SQL}, 1000) ELSE {_FILLED_SQL} END''')} AS line
-  FROM part, types
+  SELECT p_partkey, {sql_request('p_partkey', f"""replace(replace({_FILLED_SQL}, '<title>',
+    coalesce(title, '')), '<abstract>',
+    CASE WHEN p_partkey % 997 = 5 THEN repeat(text, 9000) ELSE text END)""")} AS line
+  FROM items, types
 ),
 sized AS (
   SELECT p_partkey, line, octet_length(encode(line)) AS nbytes,
@@ -335,7 +360,7 @@ SELECT id, replace(coalesce(title, 'No Title') || ': <abstract>', '<abstract>',
   AS prompt FROM items""",
     "build_requests": f"""WITH {PROMPTS_SQL}, cut AS (
   SELECT id, array_to_string(list_slice(
-    regexp_extract_all(prompt, '{_SPLIT_TOKENS}'), 1, 25), '') AS p FROM prompts)
+    regexp_extract_all(prompt, '{_SPLIT_TOKENS}'), 1, {CONTEXT_TOKENS}), '') AS p FROM prompts)
 SELECT id, {sql_request('id', 'p')} AS line FROM cut""",
     "chunk_by_count": f"WITH {_SIZED_SQL} SELECT p_partkey, pos, chunk FROM sized",
     "chunk_by_bytes": f"""WITH {_ASSIGNED_SQL}
@@ -344,10 +369,13 @@ SELECT p_partkey, pos, first_pos FROM assigned""",
 SELECT first_pos, count(*) AS chunk_size,
        CAST(sum(nbytes) + count(*) - 1 AS BIGINT) AS n_bytes,
        (SELECT max(chunk) + 1 FROM sized) AS total_chunks
-FROM assigned WHERE first_pos IS NOT NULL GROUP BY first_pos""",
+FROM assigned GROUP BY first_pos""",
     "sink_requests": f"""WITH {_ASSIGNED_SQL}
-SELECT CAST(p_partkey AS VARCHAR) AS custom_id, first_pos, CAST(nbytes AS INTEGER) AS nbytes
+SELECT CAST(p_partkey AS VARCHAR) AS custom_id, first_pos, line
 FROM assigned WHERE first_pos IS NOT NULL""",
+    "rejected_requests": f"""WITH {_ASSIGNED_SQL}
+SELECT CAST(p_partkey AS VARCHAR) AS custom_id, CAST(nbytes AS BIGINT) AS nbytes
+FROM assigned WHERE first_pos IS NULL""",
     "sample_n": """SELECT p_partkey, p_name FROM part
 ORDER BY md5('seed-1-' || p_partkey), p_partkey LIMIT 10""",
 }

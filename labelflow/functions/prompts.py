@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.functions.text import keep_tokens
+from labelflow.functions.text import TokenCutter, keep_tokens
 
 # Fixed values of a chat request line.
 METHOD = "POST"
@@ -36,19 +36,29 @@ def format_template(template: str, topics: Sequence[str], **values: object) -> s
     return text
 
 
+def topic_lines(topics: DataFrame, topic: str = "topic", mark: str = "") -> Column:
+    """The sorted distinct topics as one text, for vocabularies of any length.
+
+    A scalar subquery: computed once per query, next to the rows that use it.
+    """
+    names = F.array_sort(F.collect_set(topic))
+    lines = F.array_join(F.transform(names, lambda t: F.concat(F.lit(mark), t)), "\n")
+    return topics.agg(lines.alias("lines")).scalar()
+
+
 def bullets(topics: Sequence[str]) -> str:
     return "\n".join(f"- {topic}" for topic in topics)
 
 
 def fill(
-    template: str, fields: Mapping[str, Column], opening: str = "<", closing: str = ">"
+    template: str | Column, fields: Mapping[str, Column], opening: str = "<", closing: str = ">"
 ) -> Column:
     """Replace placeholders one after another, in the order of ``fields``.
 
     A later placeholder inside an earlier value is replaced too. A missing
     value becomes an empty string.
     """
-    prompt = F.lit(template)
+    prompt = F.lit(template)  # a column stays as it is
     for name, value in fields.items():
         prompt = F.replace(
             prompt,
@@ -69,11 +79,12 @@ def request(
     model: str,
     max_tokens: int = MAX_OUTPUT_TOKENS,
     context_tokens: int = CONTEXT_TOKENS,
+    cut: TokenCutter = keep_tokens,
 ) -> Column:
     """Nested chat request; a prompt over the context limit is cut to it."""
     message = F.struct(
         F.lit("user").alias("role"),
-        keep_tokens(prompt, context_tokens).alias("content"),
+        cut(prompt, F.lit(context_tokens)).alias("content"),
     )
     body = F.struct(
         F.lit(model).alias("model"),

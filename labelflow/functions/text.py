@@ -27,6 +27,8 @@ TOKEN_PATTERN = f"(?:[{_WORD}]+|[^{_WORD} {_ODD_SPACE}])"
 _SPACED_TOKEN = f"[ {_ODD_SPACE}]*{TOKEN_PATTERN}"
 
 TokenCounter = Callable[[Column], Column]
+#: Cuts a text to its first tokens; it must follow the same rule as the counter.
+TokenCutter = Callable[[Column, Column], Column]
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -140,9 +142,10 @@ def keep_to_budget(
     fixed_tokens: int,
     budget: int,
     count: TokenCounter = token_count,
+    cut: TokenCutter = keep_tokens,
 ) -> Column:
     """Cut only ``text`` so that template, title and text fit the budget."""
-    return keep_tokens(text, F.lit(budget - fixed_tokens) - count(title))
+    return cut(text, F.lit(budget - fixed_tokens) - count(title))
 
 
 def strip_echo(response: Column, prompt: Column) -> Column:

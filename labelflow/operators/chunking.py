@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelflow.operators.positions import with_positions
 
@@ -41,12 +42,13 @@ def _halves(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def chunk_by_bytes(chunked: DataFrame, limit: int = BYTES_PER_CHUNK) -> DataFrame:
-    """Map each position to the first position of its file: (pos, first_pos).
+    """``chunked`` with the first position of each row's file, first_pos.
 
-    ``chunked`` needs (chunk, pos, nbytes). Only these numbers are grouped, and
-    a group is one chunk, at most ``ROWS_PER_CHUNK`` rows by construction. A
-    request that exceeds the limit by itself gets no file (null).
+    ``chunked`` needs (chunk, pos, nbytes); all its columns are grouped, so
+    select few. A group is one chunk, at most ``ROWS_PER_CHUNK`` rows by
+    construction. A request that exceeds the limit by itself gets no file (null).
     """
+    schema = T.StructType([*chunked.schema.fields, T.StructField("first_pos", T.LongType())])
 
     def assign(chunk: pd.DataFrame) -> pd.DataFrame:
         chunk = chunk.sort_values("pos", ignore_index=True)
@@ -54,13 +56,9 @@ def chunk_by_bytes(chunked: DataFrame, limit: int = BYTES_PER_CHUNK) -> DataFram
         positions = chunk["pos"].to_numpy()
         for low, high in _halves(chunk["nbytes"].to_numpy(), limit):
             first[low:high] = positions[low]
-        return pd.DataFrame({"pos": positions, "first_pos": first})
+        return chunk.assign(first_pos=first)
 
-    assigned = (
-        chunked.select("chunk", "pos", "nbytes")
-        .groupBy("chunk")
-        .applyInPandas(assign, "pos long, first_pos long")
-    )
+    assigned = chunked.groupBy("chunk").applyInPandas(assign, schema)
     return assigned.withColumn(
         "first_pos", F.when(F.col("first_pos") >= 0, F.col("first_pos"))
     )
@@ -69,12 +67,12 @@ def chunk_by_bytes(chunked: DataFrame, limit: int = BYTES_PER_CHUNK) -> DataFram
 def chunk_summary(assigned: DataFrame) -> DataFrame:
     """Rows and bytes of each file, and the number of row chunks in the run.
 
-    ``assigned`` needs (chunk, first_pos, nbytes).
+    ``assigned`` needs (chunk, first_pos, nbytes). Requests without a file are
+    counted in a row of their own, with a null ``first_pos``.
     """
     chunks = assigned.agg((F.max("chunk") + 1).alias("n")).scalar()
     return (
-        assigned.where(F.col("first_pos").isNotNull())
-        .groupBy("first_pos")
+        assigned.groupBy("first_pos")
         .agg(
             F.count("*").alias("chunk_size"),
             (F.sum("nbytes") + F.count("*") - 1).alias("n_bytes"),

@@ -94,16 +94,3 @@ def infer(
     schema = T.StructType([*prompts.schema.fields, *_ADDED])
     out = prompts.mapInPandas(run, schema)
     return out.where(F.col("error").isNull()) if on_error == "drop" else out
-
-
-class TermModel:
-    """Offline stand-in for a model: the terms that occur in the prompt."""
-
-    def __init__(self, terms: Sequence[str]):
-        self.terms = list(terms)
-
-    def __call__(self, prompts: Sequence[str]) -> list[str]:
-        return [
-            "\t".join(t for t in self.terms if t in prompt.lower())
-            for prompt in prompts
-        ]

@@ -35,7 +35,7 @@ def filtered_items(before: DataFrame, after: DataFrame) -> DataFrame:
     return pending_items(before, after)
 
 
-def _one_per_id(rows: DataFrame, order: Column, newest: bool) -> DataFrame:
+def one_per_id(rows: DataFrame, order: Column, newest: bool) -> DataFrame:
     """The row of each id with the largest or smallest ``order``.
 
     Only (id, order, row number) is aggregated, with a partial step per task;
@@ -54,7 +54,7 @@ def latest_results(*runs: DataFrame) -> DataFrame:
         out = out.unionByName(run)
     rest = [c for c in out.columns if c not in ("id", "processed_at")]
     order = F.struct(F.col("processed_at"), content_hash(out, rest).alias("h"))
-    return _one_per_id(out, order, newest=True).select("id", "processed_at", *rest)
+    return one_per_id(out, order, newest=True).select("id", "processed_at", *rest)
 
 
 def with_source(results: DataFrame, items: DataFrame) -> DataFrame:
@@ -68,5 +68,5 @@ def with_source(results: DataFrame, items: DataFrame) -> DataFrame:
         materialise(results.select("id").distinct()), "id", "left_semi"
     )
     rest = [c for c in items.columns if c != "id"]
-    one = _one_per_id(wanted, content_hash(items, rest), newest=False)
+    one = one_per_id(wanted, content_hash(items, rest), newest=False)
     return results.join(materialise(one.select("id", *rest)), "id", "left")

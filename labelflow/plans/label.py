@@ -12,6 +12,7 @@ from labelflow.functions.text import clean_text
 from labelflow.operators.infer import Model, infer
 from labelflow.operators.matching import Vocabulary
 from labelflow.plans.normalize import normalize
+from labelflow.storage import materialise
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -53,21 +54,20 @@ def label(
     *,
     before: Sequence[Step] = (),
     after: Sequence[Step] = (),
-    save: Callable[[DataFrame], DataFrame] | None = None,
+    save: Callable[[DataFrame], DataFrame] = materialise,
     normalize_options: Mapping[str, object] | None = None,
     **infer_options,
 ) -> DataFrame:
     """Items (id, text, metadata) to results with ``categories``.
 
-    ``before`` and ``after`` are the user's own steps around the model. The
-    normalizer reads the answers twice; ``save`` stores them (for instance
-    ``storage.materialise``) so that a costly model runs only once.
+    ``before`` and ``after`` are the user's own steps around the model. Only id
+    and prompt go to the model. The normalizer reads the answers several times,
+    so ``save`` stores them, without the prompts, once the model has run.
     """
+    check_inputs(items, vocabulary)
     prompts = apply_steps(
         items, [clean_step(), *before, prompt_step(template, fields)]
     )
-    answers = infer(prompts, factory, **infer_options).drop("text", "metadata")
-    if save:
-        answers = save(answers)
+    answers = save(infer(prompts.select("id", "prompt"), factory, **infer_options).drop("prompt"))
     steps = [normalize_step(vocabulary, **(normalize_options or {})), *after]
     return apply_steps(answers, steps)

@@ -31,6 +31,9 @@ class DatasetConfig:
     metadata_mapping: Mapping[str, str] = field(default_factory=dict)
     id_column: str | None = None
     separator: str = " "
+    required: Sequence[str] = ()
+    #: CSV files whose fields hold line breaks cannot be split among tasks.
+    multi_line: bool = True
 
     @classmethod
     def named(cls, configs: Mapping[str, Mapping[str, Any]], name: str):
@@ -92,6 +95,8 @@ def assign_ids(
 def to_items(
     df: DataFrame, config: DatasetConfig, order: Sequence[str | Column] | None = None
 ) -> DataFrame:
+    """Project to items. Columns that ``config.required`` names must exist."""
+    require_columns(df, config.required)
     df = assign_ids(df, config.id_column, order)
     return df.select(
         F.col("item_id").alias("id"),
@@ -136,7 +141,7 @@ def read_table(spark: SparkSession, path: str, config: DatasetConfig) -> DataFra
         used.append(config.id_column)
     columns = list(dict.fromkeys(used))
     if name.endswith(".csv"):
-        return read_csv(spark, path)
+        return read_csv(spark, path, config.multi_line)
     if name.endswith((".json", ".jsonl")):
         return read_json(spark, path, columns, lines=name.endswith(".jsonl"))
     if name.endswith(".parquet"):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,17 +32,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     )
 
 
-def write_requests(rows: DataFrame, line: Column, path: str) -> None:
+def write_requests(
+    rows: DataFrame, render: Callable[[DataFrame], DataFrame], path: str
+) -> None:
     """One folder with one file of request lines per ``first_pos``.
 
-    A file is limited in rows and bytes, so one task can write it. ``line`` is
-    rendered after the shuffle: the long prompts are never moved.
+    A file is limited in rows and bytes, so one task can write it. ``rows``
+    carry the columns that ``render`` needs, such as an item's title and text;
+    it adds ``line``, which also holds the template, after the shuffle. Rows
+    without a file are left out: ``plans.export`` writes them as rejects.
     """
     (
         rows.where(F.col("first_pos").isNotNull())
         .repartition("first_pos")
         .sortWithinPartitions("first_pos", "pos")
-        .select("first_pos", line.alias("value"))
+        .transform(render)
+        .select("first_pos", F.col("line").alias("value"))
         .write.partitionBy("first_pos")
         .text(path)
     )

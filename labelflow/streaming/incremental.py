@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from labelflow.operators.results import one_per_id
+from labelflow.storage import materialise
+from labelflow.streaming.ledger import Session
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -26,17 +31,36 @@ def read_stream(
     )
 
 
-def write_once(source: DataFrame, transform: Transform, out: str, state: str) -> None:
+def write_once(
+    source: DataFrame, transform: Transform, out: str, state: str, session: Session | None = None
+) -> None:
     """Run all available input through ``transform`` and stop.
 
     Each micro-batch owns one folder and overwrites it. A replay after a crash
     therefore repeats its own folder and nothing else: exactly one copy of each
-    result, and a run that failed continues with the batch that failed.
+    result, and a run that failed continues with the batch that failed. Rows
+    with an ``error`` go to ``out``_failed, if the results have that column.
+    ``session`` gets a ledger row after each micro-batch and at the end.
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
-
+        results, folder = transform(batch), f"{out}/epoch={epoch}"
+        if "error" in results.columns:
+            results, failed = split_failures(results)
+            failed.write.mode("overwrite").parquet(f"{out}_failed/epoch={epoch}")
+        results.write.mode("overwrite").parquet(folder)
+        if session:
+            done = batch.sparkSession.read.schema(results.schema).parquet(folder).count()
+            session.progress(batch.count(), done)
+
+    if session:
+        with session:
+            _run(source, store, state)
+    else:
+        _run(source, store, state)
+
+
+def _run(source: DataFrame, store: Callable[[DataFrame, int], None], state: str) -> None:
     query = (
         source.writeStream.foreachBatch(store)
         .option("checkpointLocation", state)
@@ -64,9 +88,46 @@ def read_results(spark: SparkSession, out: str, schema: str) -> DataFrame:
 
 
 def split_failures(results: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows, and failed rows for the dead-letter table."""
+    """Good rows, and failed rows for the dead-letter table.
+
+    The results are stored first, so that a model behind them runs once.
+    """
     failed = F.col("error").isNotNull()
-    return results.where(~failed), results.where(failed)
+    stored = materialise(results)
+    return stored.where(~failed), stored.where(failed)
+
+
+def latest_per_id(results: DataFrame) -> DataFrame:
+    """One row per id over all micro-batches: that of the newest ``epoch``.
+
+    An item that is delivered again in a new file is labelled again; its newest
+    result stands.
+    """
+    return one_per_id(results, F.col("epoch"), newest=True)
+
+
+def replace_once(stream: DataFrame, out: str, state: str) -> DataFrame:
+    """Aggregate all available input; every group comes out, open ones too.
+
+    Complete mode: each micro-batch writes the whole aggregate into a folder of
+    its own, and the newest one is read. For aggregates with few groups.
+    """
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    query = (
+        stream.writeStream.foreachBatch(store)
+        .outputMode("complete")
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    schema = T.StructType([*stream.schema.fields, T.StructField("epoch", T.LongType())])
+    every = stream.sparkSession.read.schema(schema).option("basePath", out).parquet(out)
+    newest = every.agg(F.max("epoch").alias("epoch"))
+    return every.join(F.broadcast(newest), "epoch", "left_semi").drop("epoch")
 
 
 def drop_repeats(stream: DataFrame, key: str, at: str, delay: str) -> DataFrame:

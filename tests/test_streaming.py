@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelflow.functions.prompts import metadata_field
-from labelflow.operators.infer import TermModel
+from labelflow.bindings.models import TermModel
 from labelflow.operators.matching import Vocabulary
 from labelflow.plans import label as L
 from labelflow.streaming import incremental as S
