@@ -40,14 +40,12 @@ class Chunks(TextBytes):
             rolled[width:] = rolled[width:] + (rolled[:-width] << np.uint32(width))
             width *= 2
         before = rolled[np.maximum(self.starts - 1, 0)]
-        opens = np.zeros(len(self.starts), bool)
-        new_text = np.diff(self.owner, prepend=-1) != 0
         inside = self.starts - self.begin[self.owner] >= WINDOW
         chosen = inside & ((before >> np.uint32(28)) < CUTS)
-        opens[:] = chosen
-        opens[1:] &= ~chosen[:-1]
-        opens[2:] &= ~chosen[:-2]
-        opens |= new_text
+        opens = chosen.copy()
+        for k in (1, 2):  # only words of the same text count
+            opens[k:] &= ~(chosen[:-k] & (self.owner[k:] == self.owner[:-k]))
+        opens |= np.diff(self.owner, prepend=-1) != 0
         self.first = np.flatnonzero(opens)
         self.last = np.append(self.first[1:], len(self.starts)) - 1 if len(self.first) else self.first
         self.of_text = self.owner[self.first]

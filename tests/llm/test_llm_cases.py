@@ -290,6 +290,13 @@ def test_word_boundaries_resist_insertions():
     assert len(set(first.digest.tolist()) - set(second.digest.tolist())) <= 2
 
 
+def test_chunks_do_not_depend_on_other_texts():
+    texts = [prose(n, n).encode() for n in range(1, 60)]
+    together = substring_dedup.Chunks(texts)
+    alone = [d for t in texts for d in substring_dedup.Chunks([t]).digest.tolist()]
+    assert together.digest.tolist() == alone
+
+
 def test_quality_cases(spark, odd, none, odd_rows):
     labels = spark.createDataFrame([(3, 1, 0), (None, 1, 0), (4, None, 1)], "doc_id long, quality int, toxic int")
     assert quality.train(odd, labels) is None
