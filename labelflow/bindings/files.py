@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.bindings import derived as d
+from labelflow.operators.positions import with_positions
 from labelflow.sources import items as I
 from labelflow.sources import sinks as K
 from labelflow.sources import vocabulary as V
@@ -45,6 +46,30 @@ def src_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _items(I.read_items(spark, path, CONFIG))
 
 
+def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One JSON array in one file, which is what the array form means."""
+    rows, path = _documents(spark, sf_dir), f"{scratch_dir(spark)}.json"
+    placed = with_positions(rows.withColumn("key", F.col("doc_id").cast("long")), ["key"])
+    last = placed.agg(F.max("pos")).scalar()
+    line = F.concat(
+        F.when(F.col("pos") == 0, "[").otherwise(","),
+        F.to_json(F.struct("doc_id", "title", "text")),
+        F.when(F.col("pos") == last, "]").otherwise(""),
+    )
+    lines = placed.select("pos", line.alias("value")).repartition(1).sortWithinPartitions("pos")
+    lines.select("value").write.text(path)
+    return _items(I.read_items(spark, path, CONFIG))
+
+
+def src_csv_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequential ids over several files, in the order of files and rows."""
+    path = f"{scratch_dir(spark)}.csv"
+    ordered = _documents(spark, sf_dir).orderBy(F.col("doc_id").cast("long"))
+    K.write_csv(ordered, path)
+    config = I.DatasetConfig(("title",), {"doc_id": "name"}, required=("title", "doc_id"))
+    return _items(I.read_items(spark, path, config)).select("id", F.col("title").alias("doc_id"))
+
+
 def load_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The vocabulary as a text file with quoted comma labels and padding."""
     topic = F.col("topic")
@@ -57,21 +82,32 @@ def load_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many parts share a swapped name: the last part's label wins."""
+    classes = _classes(spark, sf_dir)
+    out = V.synonym_table(classes, "p_partkey")
+    return out.select(
+        "synonym", "label", F.col("pos.row").alias("row"), F.col("pos.i").alias("i")
+    )
+
+
+def load_synonyms_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through a CSV table of several files, in file order."""
+    path = f"{scratch_dir(spark)}.csv"
+    K.write_csv(_classes(spark, sf_dir).orderBy("p_partkey").drop("p_partkey"), path)
+    return V.read_synonyms(spark, path).select("synonym", "label")
+
+
+def _classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, name = F.col("p_partkey"), F.col("p_name")
     swapped = F.concat_ws(
         " ", F.split_part(name, F.lit(" "), F.lit(2)), F.split_part(name, F.lit(" "), F.lit(1))
     )
     kind = F.when(key % 3 == 0, F.lit("operation_")).otherwise(F.lit("topic_"))
-    classes = d.table(spark, sf_dir, "part").select(
+    return d.table(spark, sf_dir, "part").select(
         "p_partkey",
         F.concat(kind, key.cast("string")).alias("Class ID"),
         F.concat_ws(" ", "p_name", "p_brand").alias("Preferred Label"),
         F.when(key % 4 > 0, F.concat_ws("|", swapped, "p_brand")).alias("Synonyms"),
     )
-    out = V.synonym_table(classes, "p_partkey")
-    return out.select(
-        "synonym", "label", F.col("pos.row").alias("row"), F.col("pos.i").alias("i")
-    )
 
 
 def read_id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,8 +163,11 @@ def sink_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "src_csv": src_csv,
     "src_json": src_json,
+    "src_json_array": src_json_array,
+    "src_csv_ids": src_csv_ids,
     "load_topics": load_topics,
     "load_synonyms": load_synonyms,
+    "load_synonyms_csv": load_synonyms_csv,
     "read_id_list": read_id_list,
     "sink_json": sink_json,
     "sink_csv": sink_csv,
@@ -145,23 +184,30 @@ SELECT CAST(doc_id AS VARCHAR) AS id, {d.sql_strip('text')} AS text,
 FROM documents"""
 
 
+_LISTED = """WITH listed AS (
+  SELECT p_partkey AS row, p_name || ' ' || p_brand AS label, 0 AS i,
+         split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) AS synonym
+  FROM part WHERE p_partkey % 3 > 0 AND p_partkey % 4 > 0
+  UNION ALL
+  SELECT p_partkey, p_name || ' ' || p_brand, 1, p_brand
+  FROM part WHERE p_partkey % 3 > 0 AND p_partkey % 4 > 0
+)"""
+
 ORACLE = {
     "src_csv": _source_sql("NULL"),
     "src_json": _source_sql("'N/A'"),
+    "src_json_array": _source_sql("'N/A'"),
+    "src_csv_ids": """SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS id,
+  CAST(doc_id AS VARCHAR) AS doc_id FROM documents""",
     "load_topics": f"""WITH {d.TOPICS_SQL}
 SELECT row_number() OVER (ORDER BY topic) - 1 AS pos, topic,
   CASE WHEN contains(topic, ',') THEN '"' || topic || '"' ELSE topic END AS topic_raw
 FROM topics""",
-    "load_synonyms": """WITH listed AS (
-  SELECT p_partkey AS row, p_name || ' ' || p_brand AS label, 0 AS i,
-         split_part(p_name, ' ', 2) || ' ' || split_part(p_name, ' ', 1) AS synonym
-  FROM part WHERE p_partkey % 3 > 0 AND p_partkey % 4 > 0
-  UNION ALL
-  SELECT p_partkey, p_name || ' ' || p_brand, 1, p_brand
-  FROM part WHERE p_partkey % 3 > 0 AND p_partkey % 4 > 0
-)
+    "load_synonyms": f"""{_LISTED}
 SELECT synonym, arg_max(label, row) AS label, min(row) AS row, min(i) AS i
 FROM listed GROUP BY synonym""",
+    "load_synonyms_csv": f"""{_LISTED}
+SELECT synonym, arg_max(label, row) AS label FROM listed GROUP BY synonym""",
     "read_id_list": "SELECT 'batch_' || o_orderkey AS id FROM orders WHERE o_orderkey % 5 > 0",
     "sink_json": """SELECT CAST(doc_id AS VARCHAR) AS id, lang || '~' || source AS categories,
   CASE WHEN doc_id % 2 = 0 THEN lang END AS confidence_scores FROM documents""",

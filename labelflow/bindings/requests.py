@@ -118,11 +118,7 @@ def mapped_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("description"),
     )
     fallback = I.DatasetConfig.named(CONFIGS, "other")
-    other = other.select(
-        F.lit("").alias("id"),
-        I.combine_text(other, fallback.text_columns).alias("text"),
-        I.extract_metadata(other, fallback.metadata_mapping).alias("metadata"),
-    )
+    other = I.to_items(other, fallback, order=["id_"])
     return named.unionByName(other).select(
         "id",
         "text",
@@ -347,7 +343,8 @@ UNION ALL SELECT 'documents', count(*), count(*) - count(doc_id), count(*) > 0 F
 UNION ALL SELECT 'pages', count(*), count(*) - count(page_id), count(*) > 0 FROM pages""",
     "mapped_items": f"""WITH {PARTS_SQL}
 SELECT id, text, title, brand FROM items
-UNION ALL SELECT '', {d.sql_strip('text')}, source, NULL FROM documents""",
+UNION ALL SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR),
+  {d.sql_strip('text')}, source, NULL FROM documents""",
     "format_template": f"""WITH {_TYPES_SQL}
 SELECT p_partkey, replace(replace({_TEMPLATE_SQL}, '<topics>', listed), '<num_terms>',
   CAST(p_partkey AS VARCHAR)) AS template FROM part, types""",

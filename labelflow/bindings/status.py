@@ -1,15 +1,18 @@
-"""Batch and session reports over orders- and supplier-derived ledgers."""
+"""Batch reports over an orders-derived ledger, session reports over real runs."""
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.bindings import derived as d
 from labelflow.functions import status as S
 from labelflow.operators import monitoring as M
-from labelflow.sources.sinks import write_json
 from labelflow.storage import scratch_dir
+from labelflow.streaming import incremental, ledger
 
 
 def _as_of():
@@ -68,37 +71,40 @@ def validate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.validate_ids(asked, d.ledger(spark, sf_dir))
 
 
-SESSION_SCHEMA = (
-    "session_id string, timestamp string, processed_count long, total_results long,"
-    " pending_items_count long, total_items long, started_at timestamp_ntz,"
-    " additional_state struct<last_error: string, emergency_save: boolean,"
-    " completed: boolean>"
-)
-
-
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run ledger with one state row per supplier, written and read back."""
-    key = F.col("s_suppkey")
-    state = F.struct(
-        F.when(key % 5 == 0, F.lit("boom")).alias("last_error"),
-        F.when(key % 5 == 0, F.lit(True)).alias("emergency_save"),
-        F.when(key % 3 == 0, F.lit(True)).alias("completed"),
-    )
-    rows = d.table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("sync_"), key.cast("string")).alias("session_id"),
-        F.lit(d.AS_OF).alias("timestamp"),
-        (key % 40).alias("processed_count"),
-        (key % 40 - key % 40 % 3).alias("total_results"),
-        (F.lit(50) - key % 40).alias("pending_items_count"),
-        F.when(key % 4 > 0, F.lit(50)).alias("total_items"),
-        F.expr(
-            f"timestamp_ntz'{d.AS_OF}' - make_dt_interval(0, 0, cast(s_suppkey % 500 as int), 0)"
-        ).alias("started_at"),
-        state.alias("additional_state"),
-    )
-    path = scratch_dir(spark)
-    write_json(rows, path)
-    return spark.read.schema(SESSION_SCHEMA).json(path)
+    """What three runs left in a run ledger: one over a third of the parts that
+    completes, one over the rest that fails halfway, and one that resumes it."""
+    work, parts = scratch_dir(spark), d.table(spark, sf_dir, "part")
+    third = F.col("p_partkey") % 3
+    count = {r["k"]: r["n"] for r in parts.groupBy(third.alias("k")).agg(F.count("*").alias("n")).collect()}
+    as_of = datetime.fromisoformat(d.AS_OF)
+
+    def arrive(k: int) -> None:
+        parts.where(third == k).coalesce(1).write.mode("append").parquet(f"{work}/in")
+
+    def run(name: str, minutes: int, total: int | None, fail: bool = False) -> None:
+        def labelled(batch: DataFrame) -> DataFrame:
+            if fail and not batch.where(third == 2).isEmpty():
+                raise RuntimeError("model lost")
+            return batch.where("p_size > 10").select("p_partkey")
+
+        session = ledger.Session(
+            spark, f"{work}/ledger", name, total, as_of - timedelta(minutes=minutes)
+        )
+        source = incremental.read_stream(spark, f"{work}/in", parts.schema, files_per_trigger=1)
+        try:
+            incremental.write_once(source, labelled, f"{work}/out", f"{work}/state", session)
+        except StreamingQueryException:
+            if not fail:
+                raise
+
+    arrive(0)
+    run("sync_1", 300, count.get(0, 0))
+    arrive(1)
+    arrive(2)
+    run("sync_2", 200, count.get(1, 0) + count.get(2, 0), fail=True)
+    run("sync_3", 100, None)
+    return ledger.read_sessions(spark, f"{work}/ledger")
 
 
 def list_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,11 +155,17 @@ classed AS (
       OR (status = 'completed' AND n_results = 0) AS bad
   FROM dated
 )"""
-_SESSIONS = f"""WITH sessions AS (
-  SELECT s_suppkey AS k, 'sync_' || s_suppkey AS session_id,
-    s_suppkey % 40 AS processed, s_suppkey % 500 * 60.0 AS elapsed,
-    CASE WHEN s_suppkey % 4 > 0 AND s_suppkey % 40 > 0 THEN s_suppkey % 40 / 50 END AS ratio
-  FROM supplier
+_SESSIONS = """WITH counted AS (
+  SELECT p_partkey % 3 AS k, count(*) AS n, count(*) FILTER (WHERE p_size > 10) AS r
+  FROM part GROUP BY k
+),
+sessions AS (
+  SELECT k, 'sync_' || k + 1 AS session_id, n AS processed, r AS results,
+    CASE k WHEN 0 THEN 0 WHEN 1 THEN (SELECT n FROM counted WHERE k = 2) END AS pending,
+    (3 - k) * 6000.0 AS elapsed,
+    CASE k WHEN 0 THEN 1.0
+      WHEN 1 THEN n / (SELECT sum(n) FROM counted WHERE k > 0) END AS ratio
+  FROM counted
 )"""
 
 ORACLE = {
@@ -180,11 +192,11 @@ FROM dated""",
 SELECT 'batch_' || l_orderkey * 2 AS batch_id,
        l_orderkey * 2 IN (SELECT o_orderkey FROM orders) AS valid FROM lineitem""",
     "list_sessions": f"""{_SESSIONS}
-SELECT session_id, processed AS processed_count, processed - processed % 3 AS total_results,
-       50 - processed AS pending_items_count FROM sessions""",
+SELECT session_id, processed AS processed_count, results AS total_results,
+       pending AS pending_items_count FROM sessions""",
     "session_status": f"""{_SESSIONS}
-SELECT session_id, CASE WHEN k % 5 = 0 THEN 'crashed' WHEN k % 3 = 0 THEN 'completed'
-  ELSE 'in progress' END AS status FROM sessions""",
+SELECT session_id, CASE WHEN k = 1 THEN 'crashed' ELSE 'completed' END AS status
+FROM sessions""",
     "progress_eta": f"""{_SESSIONS}
 SELECT session_id, processed AS processed_count, CAST(elapsed AS DOUBLE) AS elapsed_seconds,
   round(ratio * 100, 4) AS progress_percent,

@@ -40,3 +40,39 @@ def with_positions(
     return ranged.join(F.broadcast(offsets), "_part").select(
         (F.col("_start") + F.col("_row")).alias(name), *df.columns
     )
+
+
+#: Columns that tell where a row stood in the files it was read from.
+PLACE = ("_file", "_block", "_scan")
+
+
+def with_place(df: DataFrame) -> DataFrame:
+    """Add PLACE to a table just read from files."""
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias(PLACE[0]),
+        F.col("_metadata.file_block_start").alias(PLACE[1]),
+        F.monotonically_increasing_id().alias(PLACE[2]),
+    )
+
+
+def in_file_order(df: DataFrame, name: str = "pos") -> DataFrame:
+    """0..n-1 by file name and place in the file, instead of PLACE.
+
+    For unfiltered reads. A file block is read by one task from start to end, so its rows need only
+    its first number: one pass counts the rows of each block, reading no other
+    column, and one row per block reaches the driver. Nothing is shuffled or
+    stored.
+    """
+    file, block, scan = PLACE
+    blocks = df.groupBy(file, block).agg(F.count("*").alias("n"), F.min(scan).alias("low")).collect()
+    blocks = sorted(blocks, key=lambda r: (r[file], r[block]))
+    starts = accumulate((r["n"] for r in blocks), initial=0)
+    offsets = df.sparkSession.createDataFrame(
+        [(r[file], r[block], start - r["low"]) for r, start in zip(blocks, starts)],
+        f"{file} string, {block} long, _shift long",
+    )
+    keep = [c for c in df.columns if c not in PLACE]
+    return df.join(F.broadcast(offsets), [file, block]).select(
+        (F.col(scan) + F.col("_shift")).alias(name), *keep
+    )

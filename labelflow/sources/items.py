@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.functions.text import strip
-from labelflow.operators.positions import with_positions
+from labelflow.operators.positions import PLACE, in_file_order, with_place, with_positions
 
 NO_DESCRIPTION = "No Description"
 
@@ -80,16 +80,18 @@ def assign_ids(
     """Add ``item_id``: the column as text (null is empty), else 0..n-1.
 
     Without an id column rows are numbered by ``order``, a unique key, or by
-    their place in the scanned files.
+    their place in the files they were read from (``with_place``).
     """
     if id_column and id_column in df.columns:
         value = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
         return df.withColumn("item_id", value)
-    if order is None:
-        df = df.withColumn("_scan", F.monotonically_increasing_id())
-        order = ["_scan"]
-    numbered = with_positions(df, list(order), "item_id")
-    return numbered.withColumn("item_id", F.col("item_id").cast("string")).drop("_scan")
+    if order is not None:
+        numbered = with_positions(df, list(order), "item_id")
+    elif set(PLACE) <= set(df.columns):
+        numbered = in_file_order(df, "item_id")
+    else:
+        raise ValueError("rows without an id column need an order")
+    return numbered.withColumn("item_id", F.col("item_id").cast("string"))
 
 
 def to_items(
@@ -106,9 +108,10 @@ def to_items(
 
 
 def read_csv(
-    spark: SparkSession, path: str, multi_line: bool = True
+    spark: SparkSession, path: str, multi_line: bool = True, place: bool = False
 ) -> DataFrame:
-    """All columns as strings. ``multi_line=False`` lets big files be split."""
+    """All columns as strings. ``multi_line=False`` lets big files be split.
+    ``place`` adds where each row stood in the files."""
     df = (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
@@ -117,12 +120,11 @@ def read_csv(
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
-    return df.select(
-        *[
-            F.when(~F.col(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c)
-            for c in df.columns
-        ]
-    )
+    values = [
+        F.when(~F.col(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c)
+        for c in df.columns
+    ]
+    return with_place(df).select(*values, *PLACE) if place else df.select(*values)
 
 
 def read_json(
@@ -133,7 +135,9 @@ def read_json(
     return spark.read.schema(schema).option("multiLine", not lines).json(path)
 
 
-def read_table(spark: SparkSession, path: str, config: DatasetConfig) -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, config: DatasetConfig, place: bool = False
+) -> DataFrame:
     """Read by file extension: csv, json (array), jsonl or parquet."""
     name = path.rstrip("/").lower()
     used = [*config.text_columns, *config.metadata_mapping]
@@ -141,16 +145,18 @@ def read_table(spark: SparkSession, path: str, config: DatasetConfig) -> DataFra
         used.append(config.id_column)
     columns = list(dict.fromkeys(used))
     if name.endswith(".csv"):
-        return read_csv(spark, path, config.multi_line)
+        return read_csv(spark, path, config.multi_line, place)
     if name.endswith((".json", ".jsonl")):
-        return read_json(spark, path, columns, lines=name.endswith(".jsonl"))
+        df = read_json(spark, path, columns, lines=name.endswith(".jsonl"))
+        return with_place(df) if place else df
     if name.endswith(".parquet"):
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        return with_place(df) if place else df
     raise ValueError(f"cannot read {path}: use csv, json, jsonl or parquet")
 
 
 def read_items(spark: SparkSession, path: str, config: DatasetConfig) -> DataFrame:
-    return to_items(read_table(spark, path, config), config)
+    return to_items(read_table(spark, path, config, place=not config.id_column), config)
 
 
 def source_check(df: DataFrame, name: str, id_column: str) -> DataFrame:

@@ -6,18 +6,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import strip
-from labelflow.operators.positions import with_positions
+from labelflow.operators.positions import PLACE, with_place, with_positions
 from labelflow.sources.items import read_csv
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, block, row, line): text lines with their place in the files."""
-    return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-        strip(F.col("value")).alias("line"),
-    )
+    """(line) and PLACE: text lines with their place in the files."""
+    lines = with_place(spark.read.text(path))
+    return lines.select(strip(F.col("value")).alias("line"), *PLACE)
 
 
 def read_topics(spark: SparkSession, path: str, keep_blank: bool = False) -> DataFrame:
@@ -28,7 +24,7 @@ def read_topics(spark: SparkSession, path: str, keep_blank: bool = False) -> Dat
     raw = F.col("line")
     quoted = F.startswith(raw, F.lit('"')) & F.endswith(raw, F.lit('"'))
     topic = F.when(quoted, F.substr(raw, F.lit(2), F.greatest(F.length(raw) - 2, F.lit(0))))
-    numbered = with_positions(lines, ["file", "block", "row"])
+    numbered = with_positions(lines, list(PLACE))
     return numbered.select(
         "pos", topic.otherwise(raw).alias("topic"), raw.alias("topic_raw")
     )
@@ -57,8 +53,9 @@ def synonym_table(classes: DataFrame, order: str | Column) -> DataFrame:
 
 
 def read_synonyms(spark: SparkSession, path: str) -> DataFrame:
-    classes = read_csv(spark, path).withColumn("_row", F.monotonically_increasing_id())
-    return synonym_table(classes, "_row")
+    """``synonym_table`` in the order of the files and of their rows."""
+    classes = read_csv(spark, path, place=True)
+    return synonym_table(classes, F.struct(*PLACE))
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
