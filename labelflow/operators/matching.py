@@ -8,8 +8,9 @@ key:
 * short labels (up to ``SHORT`` characters): the strings left after deleting at
   most k characters. Two strings within edit distance k always share one.
 * longer labels: an entry is cut into k + 1 pieces. With at most k edits one
-  piece is untouched and is found in the unknown label at most k places away
-  (the partition scheme of Pass-Join, VLDB 2011).
+  piece is untouched, and the edits before and after it bound how far away it is
+  found in the unknown label (the partition scheme of Pass-Join, VLDB 2011).
+  That makes 25 keys for a label of any length.
 * token fallback: the lowercase entry, probed by each lowercase token.
 """
 
@@ -25,12 +26,13 @@ from labelflow.storage import materialise, rows_if_at_most
 
 TOPIC_EDITS = 2
 SYNONYM_EDITS = 1
-SHORT = 48
+SHORT = 8
 
-# A vocabulary up to this many entries is held in the plan itself.
+# A vocabulary up to this many entries and characters is held in the plan itself.
 INLINE_LABELS = 5_000
-# A dictionary up to this many keys is broadcast.
-BROADCAST_KEYS = 300_000
+INLINE_CHARS = 500_000
+# A dictionary up to this many bytes, texts and repeats included, is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 # Kinds of match, best first.
 TOPIC_EDIT, SYNONYM_EDIT, TOPIC_TOKEN, SYNONYM_TOKEN = range(4)
@@ -42,13 +44,13 @@ class Vocabulary:
     """topics(pos, topic), synonyms(pos, synonym, label); ``pos`` orders ties.
 
     ``names`` holds every topic when the vocabulary is small, else None.
-    ``keys`` bounds the size of the dictionary when it is known, else None.
+    ``nbytes`` bounds the size of the dictionary when it is known, else None.
     """
 
     topics: DataFrame
     synonyms: DataFrame
     names: list[str] | None
-    keys: int | None
+    nbytes: int | None
 
     @classmethod
     def of(
@@ -69,9 +71,9 @@ class Vocabulary:
                 "pos", F.col("topic").alias("synonym"), F.col("topic").alias("label")
             )
         synonyms = synonyms.select("pos", "synonym", "label")
-        topic_rows = rows_if_at_most(topics, inline_limit)
-        synonym_rows = rows_if_at_most(synonyms, inline_limit)
-        keys = None
+        topic_rows = _small(topics, inline_limit)
+        synonym_rows = _small(synonyms, inline_limit)
+        nbytes = None
 
         def kept(table: DataFrame, rows: list[Row] | None) -> DataFrame:
             if rows is None:
@@ -80,10 +82,12 @@ class Vocabulary:
 
         topics, synonyms = kept(topics, topic_rows), kept(synonyms, synonym_rows)
         if topic_rows is not None and synonym_rows is not None:
-            keys = sum(_key_bound(r["topic"], TOPIC_EDITS) for r in topic_rows)
-            keys += sum(_key_bound(r["synonym"], SYNONYM_EDITS) for r in synonym_rows)
+            nbytes = sum(_bytes(r["topic"], r["topic"], TOPIC_EDITS) for r in topic_rows)
+            nbytes += sum(
+                _bytes(r["synonym"], r["label"], SYNONYM_EDITS) for r in synonym_rows
+            )
         names = None if topic_rows is None else [r["topic"] for r in topic_rows]
-        return cls(topics, synonyms, names, keys)
+        return cls(topics, synonyms, names, nbytes)
 
     def contains(self, label: Column) -> Column:
         """Membership as a hash-set test; only for a small vocabulary."""
@@ -92,11 +96,21 @@ class Vocabulary:
         return label.isin(self.names) if self.names else F.lit(False)
 
 
-def _key_bound(label: str, edits: int) -> int:
-    n = len(label)
-    if n > SHORT:
-        return edits + 2
-    return 2 + n + (n * (n - 1) // 2 if edits > 1 else 0)
+def _small(table: DataFrame, limit: int) -> list[Row] | None:
+    """All rows of a table of few rows and characters, else None."""
+    texts = [F.length(c) for c, t in table.dtypes if t == "string"]
+    chars = sum((F.coalesce(t, F.lit(0)) for t in texts), F.lit(0))
+    head = table.limit(limit + 1).agg(F.count("*").alias("n"), F.sum(chars).alias("c")).first()
+    if head["n"] > limit or (head["c"] or 0) > INLINE_CHARS:
+        return None
+    return rows_if_at_most(table, limit)
+
+
+def _bytes(entry: str, target: str, edits: int) -> int:
+    """At most so many bytes of dictionary rows for one entry."""
+    n = len(entry)
+    keys = 2 + n + (n * (n - 1) // 2 if edits > 1 else 0) if n <= SHORT else edits + 2
+    return keys * (4 * (n + len(target or "")) + 100)
 
 
 def _deletions(text: Column, edits: int) -> Column:
@@ -152,22 +166,24 @@ def _entry_keys(text: Column, edits: int) -> Column:
 
 
 def _probe_pieces(text: Column, edits: int) -> Column:
+    """Keys of all places where an untouched piece of an entry can stand.
+
+    If piece i is the first untouched one, at least i edits lie before it, so it
+    is shifted by at most i; and at most ``edits - i`` edits lie behind it, so
+    its distance from the end changes by no more than that.
+    """
     n = F.length(text)
-    lengths = F.filter(F.sequence(n - edits, n + edits), lambda x: x > SHORT)
-    shifts = F.sequence(F.lit(-edits), F.lit(edits))
-    return F.flatten(
-        F.transform(
-            lengths,
-            lambda length: F.flatten(
-                F.transform(
-                    shifts,
-                    lambda s: F.array(
-                        *[_piece(text, length, i, edits, s) for i in range(edits + 1)]
-                    ),
-                )
-            ),
-        )
-    )
+    keys = []
+    for longer in range(-edits, edits + 1):
+        length = n - longer
+        for i in range(edits + 1):
+            low = max(-i, longer - (edits - i))
+            high = min(i, longer + (edits - i))
+            keys += [
+                F.when(length > SHORT, _piece(text, length, i, edits, F.lit(shift)))
+                for shift in range(low, high + 1)
+            ]
+    return F.filter(F.array(*keys), lambda key: key.isNotNull())
 
 
 def _tokens(text: Column) -> Column:
@@ -180,7 +196,7 @@ def _token_key(token: Column) -> Column:
 
 
 def _probe_keys(text: Column, longest: Column, kinds: tuple[int, ...]) -> Column:
-    """All keys of an unknown label.
+    """All keys of an unknown label, each with the token it stands for, if any.
 
     ``longest`` is the length of the longest entry: no longer label can be
     within reach of an edit match, so it only probes with its tokens.
@@ -203,9 +219,16 @@ def _probe_keys(text: Column, longest: Column, kinds: tuple[int, ...]) -> Column
                         reach & (n > SHORT - k), _probe_pieces(text, k)
                     ).otherwise(none)
                 )
-    if TOPIC_TOKEN in kinds or SYNONYM_TOKEN in kinds:
-        parts.append(F.transform(_tokens(text), _token_key))
-    return F.array_distinct(F.concat(*parts))
+    edit_keys = F.array_distinct(F.concat(none, *parts))
+    probes = F.transform(
+        edit_keys, lambda k: F.struct(k.alias("key"), F.lit(None).cast("string").alias("token"))
+    )
+    if TOPIC_TOKEN not in kinds and SYNONYM_TOKEN not in kinds:
+        return probes
+    words = F.transform(
+        _tokens(text), lambda t: F.struct(_token_key(t).alias("key"), t.alias("token"))
+    )
+    return F.concat(probes, words)
 
 
 def _dictionary(vocabulary: Vocabulary, kinds: tuple[int, ...]) -> DataFrame:
@@ -246,7 +269,7 @@ def _dictionary(vocabulary: Vocabulary, kinds: tuple[int, ...]) -> DataFrame:
             "target",
         )
         out = part if out is None else out.unionByName(part)
-    if vocabulary.keys is not None and vocabulary.keys <= BROADCAST_KEYS:
+    if vocabulary.nbytes is not None and vocabulary.nbytes <= BROADCAST_BYTES:
         return F.broadcast(out)
     return out.hint("merge")
 
@@ -267,15 +290,17 @@ def match_misses(
         .unionAll(vocabulary.synonyms.select(F.length("synonym")))
         .agg(F.coalesce(F.max("n"), F.lit(0)))
     )
-    probes = misses.select(
-        miss, F.explode(_probe_keys(miss, longest.scalar(), kinds)).alias("key")
+    probes = (
+        misses.select(miss, longest.scalar().alias("longest"))
+        .select(miss, F.explode(_probe_keys(miss, F.col("longest"), kinds)).alias("p"))
+        .select("miss", "p.key", "p.token")
     )
     near = F.levenshtein(miss, entry, TOPIC_EDITS)
     distance = (
         F.when((kind == TOPIC_EDIT) & (near > 0), near)
         .when((kind == SYNONYM_EDIT) & near.between(0, SYNONYM_EDITS), near)
         .when(
-            (kind >= TOPIC_TOKEN) & F.array_contains(_tokens(miss), F.lower(entry)),
+            (kind >= TOPIC_TOKEN) & (F.col("token") == F.lower(entry)),
             F.levenshtein(miss, entry),
         )
     )

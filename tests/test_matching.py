@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelflow.operators import matching as M
 from labelflow.sources import vocabulary as V
@@ -126,3 +127,11 @@ def test_no_cross_join_in_the_plan(spark, cases):
     df = spark.createDataFrame([(m,) for m in misses], "miss string")
     plan = M.match_misses(df, vocabulary)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_few_probe_keys_for_any_length(spark):
+    rows = [("x y" * n)[:n] for n in range(0, 200)]
+    df = spark.createDataFrame([(r,) for r in rows], "miss string")
+    kinds = (M.TOPIC_EDIT, M.SYNONYM_EDIT)
+    most = df.select(F.max(F.size(M._probe_keys(F.col("miss"), F.lit(10_000), kinds)))).first()[0]
+    assert most < 100
