@@ -43,15 +43,20 @@ label_list = _element_query(
 )
 
 
-def protect_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+def protect_labels(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     """Responses without quotes, so that only protection keeps comma labels whole."""
     rows = d.responses(spark, sf_dir).withColumn(
         "raw_response", F.translate("raw_response", '"', "")
     )
-    out = N.protected_labels(rows, M.Vocabulary.of(d.topics(spark, sf_dir)))
+    out = N.protected_labels(rows, M.Vocabulary.of(d.topics(spark, sf_dir), **options))
     return out.select("id", _joined("labels"))
 
 
+def protect_labels_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a vocabulary that is not held in the plan."""
+    return protect_labels(spark, sf_dir, inline_limit=0)
+
+
 def unexpected_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return N.unexpected_labels(
         d.responses(spark, sf_dir), d.vocabulary(spark, sf_dir)
@@ -121,6 +126,7 @@ QUERIES = {
     "quoted_segments": quoted_segments,
     "label_list": label_list,
     "protect_labels": protect_labels,
+    "protect_labels_large": protect_labels_large,
     "unexpected_labels": unexpected_labels,
     "partition_labels": partition_labels,
     "fuzzy_topics": fuzzy_topics,
@@ -215,6 +221,19 @@ def _element_sql(expr: str, name: str) -> str:
     return f"WITH {d.RESPONSES_SQL} SELECT id, {expr} AS {name} FROM responses"
 
 
+PROTECT_SQL = f"""WITH {d.TOPICS_SQL}, {d.RESPONSES_SQL},
+entries AS (
+  SELECT list(topic ORDER BY length(topic) DESC, topic DESC) AS e
+  FROM topics WHERE contains(topic, ',')
+),
+unquoted AS (
+  SELECT id, list_reduce(list_prepend(replace(raw_response, '"', ''), e),
+      lambda t, w: replace(t, w, replace(w, ',', chr(57344)))) AS raw_response
+  FROM responses, entries
+), {d.labels_sql('unquoted')}
+SELECT id, replace(array_to_string(labels, '~'), chr(57344), ',') AS labels
+FROM labels"""
+
 ORACLE = {
     "split_tabs": _element_sql(
         f"array_to_string({d.sql_tabs('raw_response')}, '~')", "tabs"
@@ -231,18 +250,8 @@ ORACLE = {
     ),
     "label_list": f"""WITH {d.RESPONSES_SQL}, {d.labels_sql()}
 SELECT id, array_to_string(labels, '~') AS labels FROM labels""",
-    "protect_labels": f"""WITH {d.TOPICS_SQL}, {d.RESPONSES_SQL},
-entries AS (
-  SELECT list(topic ORDER BY length(topic) DESC, topic DESC) AS e
-  FROM topics WHERE contains(topic, ',')
-),
-unquoted AS (
-  SELECT id, list_reduce(list_prepend(replace(raw_response, '"', ''), e),
-      lambda t, w: replace(t, w, replace(w, ',', chr(57344)))) AS raw_response
-  FROM responses, entries
-), {d.labels_sql('unquoted')}
-SELECT id, replace(array_to_string(labels, '~'), chr(57344), ',') AS labels
-FROM labels""",
+    "protect_labels": PROTECT_SQL,
+    "protect_labels_large": PROTECT_SQL,
     "unexpected_labels": f"""WITH {d.TOPICS_SQL}, {d.RESPONSES_SQL}, {d.labels_sql()}
 SELECT id, labels[1] AS label FROM labels
 WHERE len(labels) = 1 AND NOT contains(labels[1], '"') AND contains(labels[1], ' ')

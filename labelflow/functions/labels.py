@@ -5,8 +5,10 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelflow.functions.text import let, strip
 
@@ -130,37 +132,95 @@ def bare(label: Column) -> Column:
     return F.translate(label, '."', "")
 
 
-_HIDDEN_FROM = "," + _SINGLES
+# Private-use characters that stand for separators inside a protected label.
+_HIDDEN_FROM = ",\t" + _SINGLES
 _HIDDEN_TO = "".join(chr(0xE000 + i) for i in range(len(_HIDDEN_FROM)))
-_JOINER = "\ue0ff"
-
+_JOINER, _ESCAPE = "\ue0ff", "\ue0fe"
+_OURS = _HIDDEN_TO + _JOINER + _ESCAPE
 
 _HIDE = str.maketrans(_HIDDEN_FROM, _HIDDEN_TO)
+# Of a longer separator whose characters separate nothing alone, the joiner
+# after the first character is enough.
+_TORN = re.compile(
+    "|".join(re.escape(s) for s in SEPARATORS if len(s) > 1 and not set(s) & set(_SINGLES))
+)
 
 
 def hide_separators(label: str) -> str:
     """Swap the separators inside a label for private-use characters."""
-    return label.translate(_HIDE).replace("TAB", f"T{_JOINER}AB")
+    joined = _TORN.sub(lambda m: _JOINER.join(m.group()), label)
+    return joined.translate(_HIDE)
+
+
+def escape_marks(text: str) -> str:
+    """Private-use characters that a text already has, as pairs that no step
+    takes for a separator."""
+    if not any(c in text for c in _OURS):
+        return text
+    return "".join(_ESCAPE + chr(0x4E00 + _OURS.index(c)) if c in _OURS else c for c in text)
 
 
 def show_separators(label: Column) -> Column:
-    return F.translate(label, _HIDDEN_TO + _JOINER, _HIDDEN_FROM)
+    """Undo ``hide_separators`` and then ``escape_marks``."""
+    shown = F.translate(label, _HIDDEN_TO + _JOINER, _HIDDEN_FROM)
+    unescaped = shown
+    for i, mark in enumerate(_OURS):
+        unescaped = F.replace(unescaped, F.lit(_ESCAPE + chr(0x4E00 + i)), F.lit(mark))
+    return F.when(F.contains(shown, F.lit(_ESCAPE)), unescaped).otherwise(shown)
 
 
-def protected_label_list(raw: Column, entries: Sequence[str]) -> Column:
-    """Like ``label_list`` but vocabulary entries holding separators stay whole.
+class Protector:
+    """Hides the separators of entries in texts, longest entry first.
 
-    Longer entries are tried first.
+    Entries are listed under their first characters, at most HEAD, so a text is
+    looked up once at each of its places, however many entries there are.
     """
-    torn = sorted(
-        {e for e in entries if hide_separators(e) != e}, key=lambda e: (-len(e), e)
-    )
-    if not torn:
-        return label_list(raw)
-    pairs = F.array(
-        *[F.struct(F.lit(e).alias("e"), F.lit(hide_separators(e)).alias("h")) for e in torn]
-    )
-    hidden = F.aggregate(
-        pairs, raw, lambda text, p: F.replace(text, p["e"], p["h"])
-    )
-    return F.transform(label_list(hidden), show_separators)
+
+    HEAD = 4
+
+    def __init__(self, entries: Sequence[str]):
+        escaped = {escape_marks(e) for e in entries}
+        self.hidden = {e: h for e in escaped if (h := hide_separators(e)) != e}
+        self.by_head: dict[str, list[str]] = {}
+        for entry in self.hidden:
+            self.by_head.setdefault(entry[: self.HEAD], []).append(entry)
+        self.lengths = sorted({len(h) for h in self.by_head})
+
+    def __call__(self, text: str) -> str:
+        """``text`` must have its own marks escaped."""
+        found = {
+            e
+            for i in range(len(text))
+            for n in self.lengths
+            for e in self.by_head.get(text[i : i + n], ())
+            if text.startswith(e, i)
+        }
+        for entry in sorted(found, key=lambda e: (-len(e), e)):
+            text = text.replace(entry, self.hidden[entry])
+        return text
+
+
+def hide_entries(raw: Column, entries: Sequence[str], escaped: bool = False) -> Column:
+    """``raw`` with the separators of all entries in it hidden. ``escaped``: its
+    own marks are escaped already, by an earlier pass."""
+    protector = Protector(entries)
+
+    @F.pandas_udf(T.StringType())
+    def hide(texts: pd.Series) -> pd.Series:
+        return texts.map(
+            lambda t: protector(t if escaped else escape_marks(t)), na_action="ignore"
+        )
+
+    return hide(raw)
+
+
+def protected_label_list(raw: Column, entries: Sequence[str]) -> Column:
+    """Like ``label_list`` but entries that hold separators stay whole."""
+    return F.transform(label_list(hide_entries(raw, entries)), show_separators)
+
+
+def is_torn(entry: Column) -> Column:
+    """Does an entry hold a separator, so that splitting would tear it?"""
+    longer = "|".join(re.escape(s) for s in SEPARATORS if len(s) > 1)
+    singles = "".join(re.escape(s) for s in _SINGLES)
+    return F.rlike(entry, F.lit(f"[{singles},\t]|{longer}"))

@@ -16,15 +16,23 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.functions.labels import bare, label_list, protected_label_list
+from labelflow.functions.labels import (
+    bare,
+    hide_entries,
+    is_torn,
+    label_list,
+    show_separators,
+)
 from labelflow.functions.once import with_once
-from labelflow.operators.matching import INLINE_LABELS, Vocabulary, match_misses
+from labelflow.operators.matching import Vocabulary, match_misses
 from labelflow.operators.results import content_hash
 from labelflow.storage import materialise
 
 # A match table within both bounds is looked up inside the row.
 INLINE_MATCHES = 20_000
 INLINE_MATCH_CHARS = 1_000_000
+#: Characters of vocabulary entries that one pass of label protection sends out.
+PROTECT_CHARS = 4_000_000
 _BUCKETS = 1024
 _SPREAD = 4096
 
@@ -38,13 +46,30 @@ def with_labels(responses: DataFrame, labels: Column | None = None) -> DataFrame
 
 
 def protected_labels(responses: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """``with_labels`` that keeps vocabulary entries holding separators whole."""
-    if vocabulary.names is None:
-        raise ValueError(
-            f"label protection needs a vocabulary of at most {INLINE_LABELS} entries"
-        )
-    labels = protected_label_list(F.col("raw_response"), vocabulary.names)
-    return with_labels(responses, labels)
+    """``with_labels`` that keeps vocabulary entries holding separators whole.
+
+    Longer entries come first. The entries go to the tasks in groups of
+    PROTECT_CHARS characters, one pass over the responses for each group, so a
+    vocabulary may have any size.
+    """
+    torn = (
+        vocabulary.topics.where(is_torn(F.col("topic")))
+        .select("topic")
+        .distinct()
+        .orderBy(F.length("topic").desc(), "topic")
+    )
+    hidden, group, chars, passes = F.col("raw_response"), [], 0, 0
+    for row in torn.toLocalIterator():
+        if group and chars + len(row["topic"]) > PROTECT_CHARS:
+            hidden, passes = hide_entries(hidden, group, passes > 0), passes + 1
+            group, chars = [], 0
+        group.append(row["topic"])
+        chars += len(row["topic"])
+    if not group:
+        return with_labels(responses)
+    rows = with_once(responses, "_hidden", hide_entries(hidden, group, passes > 0))
+    labels = F.transform(label_list(F.col("_hidden")), show_separators)
+    return with_labels(rows, labels).drop("_hidden")
 
 
 def _distinct_bare(labels: Column) -> Column:

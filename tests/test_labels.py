@@ -108,3 +108,15 @@ def test_protected_labels_stay_whole(column):
         ["X-ray diffraction", "Allergy, clinical - immunology", "DATABASE"],
         ['"Allergy, clinical - immunology"', "X", "ray"],
     ]
+
+
+def test_protection_leaves_private_use_characters_alone(column):
+    names = ["red, blue", "a  b", "x (tab) y", "\ue000, z"]
+    texts = [
+        "\ue000abc; \ue0ff\ue0fe", "red, blue, \ue001", "a  b|x (tab) y|\ue000, z", None,
+        "bared, bluest",
+    ]
+    assert column(lambda raw: L.protected_label_list(raw, names), texts) == [
+        ["\ue000abc", "\ue0ff\ue0fe"], ["red, blue", "\ue001"], ["a  b", "x (tab) y", "\ue000, z"],
+        None, ["bared, bluest"],
+    ]
