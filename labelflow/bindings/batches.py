@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from labelflow.bindings import derived as d
 from labelflow.bindings import normalizer as N
 from labelflow.operators.monitoring import request_counts as count_requests
-from labelflow.plans.normalize import normalize
+from labelflow.plans import importing as I
 from labelflow.sources import batches as B
 from labelflow.sources.sinks import write_batches
-from labelflow.storage import materialise, scratch_dir, spread
+from labelflow.storage import scratch_dir
 
 DEFAULT_MODEL = "gpt-4.1-nano"
 
@@ -99,8 +99,8 @@ def src_jsonl(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def existing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Output files of earlier batches: read, keep good lines, normalize."""
+def _imported(spark: SparkSession, sf_dir: str) -> I.Imported:
+    """Output files of earlier batches: read, keep good lines, normalize, write."""
     answers = d.responses(spark, sf_dir)
     content = F.struct(F.col("raw_response").alias("content")).alias("message")
     response = F.struct(
@@ -112,10 +112,19 @@ def existing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("b"), batch.cast("string")).alias("batch_id"),
         _json(custom_id=F.col("id"), response=response).alias("line"),
     )
-    # The normalizer reads its input twice: store the parsed lines once.
-    results = materialise(B.batch_results(_written(spark, rows), DEFAULT_MODEL))
-    out = normalize(spread(results), d.vocabulary(spark, sf_dir))
-    return out.select(
+    source = scratch_dir(spark)
+    write_batches(rows, source)
+    return I.import_batches(
+        spark, source, scratch_dir(spark), d.vocabulary(spark, sf_dir), DEFAULT_MODEL
+    )
+
+
+def import_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _imported(spark, sf_dir).counts
+
+
+def existing_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _imported(spark, sf_dir).results.select(
         "id", "batch_id", "model_name",
         F.array_join("categories", "~").alias("categories"),
     )
@@ -129,6 +138,7 @@ QUERIES = {
     "union_batches": union_batches,
     "src_jsonl": src_jsonl,
     "existing_batches": existing_batches,
+    "import_counts": import_counts,
 }
 
 _LINES = """
@@ -161,6 +171,10 @@ SELECT item AS id, batch_id, text AS raw_response FROM rendered WHERE kind >= 6"
     "src_jsonl": f"""WITH {_LINES}
 SELECT CASE WHEN kind NOT IN (0, 3) THEN item END AS custom_id,
        CASE WHEN kind = 0 THEN 'not json {{' END AS unread FROM rendered""",
+    "import_counts": f"""WITH {d.RESPONSES_SQL}
+SELECT 'b' || CAST(split_part(id, '-', 4) AS BIGINT) % 4 AS batch_id, count(*) AS total,
+  count(raw_response) AS completed, count(*) - count(raw_response) AS failed
+FROM responses GROUP BY batch_id""",
     "existing_batches": f"""WITH {N.PARTITION_SQL}, {N.MATCH_SQL}, {N.BEST_SQL}
 SELECT id, 'b' || CAST(split_part(id, '-', 4) AS BIGINT) % 4 AS batch_id,
   'gpt-4.1-nano' AS model_name,

@@ -148,11 +148,18 @@ def simple_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark)
-    write_json(request_metrics(spark, sf_dir), path)
+    C.save_metrics(request_metrics(spark, sf_dir), simple_stats(spark, sf_dir), path)
     schema = (
         "request_id string, runtime double, prompt_tokens long, cost double, error string"
     )
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).json(f"{path}/facts")
+
+
+def sink_metrics_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary that was written next to the facts."""
+    path, summary = scratch_dir(spark), simple_stats(spark, sf_dir)
+    C.save_metrics(request_metrics(spark, sf_dir), summary, path)
+    return spark.read.schema(summary.schema).json(f"{path}/summary")
 
 
 QUERIES = {
@@ -169,6 +176,7 @@ QUERIES = {
     "resource_series": resource_series,
     "simple_stats": simple_stats,
     "sink_metrics": sink_metrics,
+    "sink_metrics_summary": sink_metrics_summary,
 }
 
 _PRICES = ", ".join(f"('{m}', '{k}', {i}, {o})" for m, k, i, o in C.PRICES)
@@ -216,6 +224,15 @@ _TOTALS = """totals AS (
          epoch(max(ended_at)) - epoch(min(started_at)) AS seconds FROM metrics
 )"""
 
+_STATS = f"""{_facts('non_batch')}, {_TOTALS},
+resources AS (SELECT max(value) AS cpu, avg(value) AS mean FROM events)
+SELECT 'gpt-4o' AS model, printf('%.2fs', seconds) AS total_runtime,
+  printf('%.3fs', seconds / n) AS time_per_sample,
+  printf('%.1f MB', cpu * 4) AS peak_memory, printf('%.1f MB', mean * 4) AS average_memory,
+  printf('%.1f%%', cpu) AS peak_cpu_usage, printf('%.1f%%', mean) AS average_cpu_usage,
+  printf('$%.4f', cost) AS total_cost, printf('$%.4f', cost / n) AS cost_per_sample
+FROM totals, resources"""
+
 ORACLE = {
     "pair_requests": f"""WITH {d.PAIRS_SQL}, {_BOOK}
 SELECT id, prompt, completion FROM asked""",
@@ -260,14 +277,8 @@ SELECT event_id AS at, 'gpu_memory_mb' AS series, round(value * 10, 6) AS value
 FROM events WHERE event_id % 2 = 0
 UNION ALL SELECT event_id, 'cpu_percent', round(value, 6) FROM events WHERE event_id % 3 > 0
 UNION ALL SELECT event_id, 'watts', round(value + 100, 6) FROM events WHERE event_id % 5 = 0""",
-    "simple_stats": f"""{_facts('non_batch')}, {_TOTALS},
-resources AS (SELECT max(value) AS cpu, avg(value) AS mean FROM events)
-SELECT 'gpt-4o' AS model, printf('%.2fs', seconds) AS total_runtime,
-  printf('%.3fs', seconds / n) AS time_per_sample,
-  printf('%.1f MB', cpu * 4) AS peak_memory, printf('%.1f MB', mean * 4) AS average_memory,
-  printf('%.1f%%', cpu) AS peak_cpu_usage, printf('%.1f%%', mean) AS average_cpu_usage,
-  printf('$%.4f', cost) AS total_cost, printf('$%.4f', cost / n) AS cost_per_sample
-FROM totals, resources""",
+    "simple_stats": _STATS,
+    "sink_metrics_summary": _STATS,
     "sink_metrics": f"""{_facts('non_batch')}
 SELECT id AS request_id, runtime, n_in AS prompt_tokens, round(cost, 9) AS cost, error
 FROM metrics""",

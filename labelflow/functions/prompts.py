@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import TokenCutter, keep_tokens
@@ -36,6 +36,11 @@ def format_template(template: str, topics: Sequence[str], **values: object) -> s
     return text
 
 
+def read_template(spark: SparkSession, path: str) -> str:
+    """A template file, wherever Spark can read it. One prompt's text."""
+    return spark.read.text(path, wholetext=True).first()["value"]
+
+
 def topic_lines(topics: DataFrame, topic: str = "topic", mark: str = "") -> Column:
     """The sorted distinct topics as one text, for vocabularies of any length.
 

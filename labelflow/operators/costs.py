@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.functions.text import TokenCounter, token_count
+from labelflow.sources.sinks import write_json
 from labelflow.storage import materialise
 
 # US dollars per million tokens (model, mode, input, output).
@@ -71,6 +72,13 @@ def pair_requests(requests: DataFrame, results: DataFrame) -> DataFrame:
     return requests.join(materialise(answers), "id")
 
 
+def save_metrics(facts: DataFrame, summary: DataFrame, path: str) -> None:
+    """Facts as JSON lines below ``path``/facts and the summary, a row per run,
+    appended below ``path``/summary."""
+    write_json(facts, f"{path}/facts")
+    write_json(summary, f"{path}/summary")
+
+
 def token_cost(prompt_tokens: Column, completion_tokens: Column) -> Column:
     return (
         prompt_tokens / MILLION * F.col("input_price")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from labelflow.functions import status as S
 from labelflow.operators.costs import seconds_between
+from labelflow.sources.sinks import write_json
 from labelflow.storage import materialise
 
 
@@ -83,6 +84,11 @@ def status_lines(ledger: DataFrame, as_of: Column) -> DataFrame:
     return rows.select("batch_id", line.alias("line"))
 
 
+def append_status(ledger: DataFrame, as_of: Column, path: str) -> None:
+    """Add the progress lines of this moment to a status history (JSON lines)."""
+    write_json(status_lines(ledger, as_of).withColumn("at", as_of.cast("string")), path)
+
+
 def validate_ids(requested: DataFrame, ledger: DataFrame) -> DataFrame:
     """Requested ids with ``valid``: does the ledger know them."""
     known = materialise(

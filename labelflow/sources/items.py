@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
@@ -43,6 +44,12 @@ class DatasetConfig:
         return cls(**configs[name])
 
 
+def read_configs(spark: SparkSession, path: str) -> dict[str, dict[str, Any]]:
+    """Data set configurations from a JSON file: name to the fields of
+    ``DatasetConfig``."""
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+
+
 def require_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
     missing = [n for n in names if n not in df.columns]
     if missing:
