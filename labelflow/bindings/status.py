@@ -61,6 +61,18 @@ def status_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.status_lines(d.ledger(spark, sf_dir), _as_of())
 
 
+def status_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Progress lines of two moments, appended to one history."""
+    path, ledger = scratch_dir(spark), d.ledger(spark, sf_dir)
+    later = F.expr(f"timestamp_ntz'{d.AS_OF}' + interval 1 hour")
+    for moment in (_as_of(), later):
+        M.append_status(ledger, moment, path)
+    rows = spark.read.schema("batch_id string, line string, at string").json(path)
+    return rows.groupBy(F.col("at").alias("moment")).agg(
+        F.count("*").alias("n_lines"), F.min("line").alias("first"), F.max("line").alias("last")
+    )
+
+
 def validate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ask for the batch of every line item, shifted so that some are unknown."""
     asked = d.table(spark, sf_dir, "lineitem").select(
@@ -132,6 +144,7 @@ QUERIES = {
     "monitor_summary": monitor_summary,
     "failed_batches": failed_batches,
     "status_lines": status_lines,
+    "status_history": status_history,
     "validate_ids": validate_ids,
     "list_sessions": list_sessions,
     "session_status": session_status,
@@ -188,6 +201,20 @@ FROM classed""",
 SELECT batch_id, '[{d.AS_OF}] Batch ' || batch_id || ': ' || status || ' (elapsed: '
   || CAST(s AS BIGINT) || ' s, ETA: ' || coalesce(eta, 'Unknown') || ')' AS line
 FROM dated""",
+    "status_history": f"""{_AGED},
+moments AS (SELECT unnest([0, 3600]) AS more),
+moved AS (
+  SELECT *, s + more AS t, strftime(TIMESTAMP '{d.AS_OF}' + to_seconds(more), '%Y-%m-%d %H:%M:%S') AS moment
+  FROM aged, moments
+),
+lines AS (
+  SELECT moment, '[' || moment || '] Batch ' || batch_id || ': ' || status || ' (elapsed: '
+    || CAST(t AS BIGINT) || ' s, ETA: ' || coalesce(CASE WHEN status = 'validating' THEN '2-5 minutes'
+      WHEN status = 'in_progress' THEN CASE WHEN t < 3600 THEN '2-20 hours'
+        WHEN t < 43200 THEN '2-12 hours' ELSE '1-6 hours' END
+      WHEN status = 'finalizing' THEN '1-10 minutes' END, 'Unknown') || ')' AS line FROM moved
+)
+SELECT moment, count(*) AS n_lines, min(line) AS first, max(line) AS last FROM lines GROUP BY moment""",
     "validate_ids": """
 SELECT 'batch_' || l_orderkey * 2 AS batch_id,
        l_orderkey * 2 IN (SELECT o_orderkey FROM orders) AS valid FROM lineitem""",

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -147,3 +148,42 @@ def test_json_sink_appends(spark, tmp_path):
     K.write_json(df, path)
     K.write_json(df, path)
     assert [r["value"] for r in spark.read.text(path).collect()] == ['{"id":"1","note":null}'] * 2
+
+
+def test_template_and_configuration_files(spark, tmp_path):
+    from labelflow.functions.prompts import read_template
+
+    (tmp_path / "t.txt").write_text("Title: <title>\n<topics>\n")
+    assert read_template(spark, str(tmp_path / "t.txt")) == "Title: <title>\n<topics>\n"
+    (tmp_path / "c.json").write_text('{"a": {"text_columns": ["x"], "id_column": "i"}}')
+    configs = I.read_configs(spark, str(tmp_path / "c.json"))
+    assert I.DatasetConfig.named(configs, "a") == I.DatasetConfig(["x"], {}, "i")
+
+
+def test_required_columns_and_missing_order(spark):
+    df = spark.createDataFrame([("a",)], "x string")
+    with pytest.raises(ValueError, match="missing columns: y"):
+        I.to_items(df, I.DatasetConfig(("x",), required=("x", "y"), id_column="x"))
+    with pytest.raises(ValueError, match="order"):
+        I.to_items(df, I.DatasetConfig(("x",)))
+
+
+def test_ids_follow_file_order_not_file_size(spark, tmp_path):
+    path = tmp_path / "in.csv"
+    path.mkdir()
+    for name, rows in (("a", 2), ("b", 50), ("c", 5)):
+        lines = [f"{name}{i}" for i in range(rows)]
+        (path / f"{name}.csv").write_text("description\n" + "\n".join(lines) + "\n")
+    items = I.read_items(spark, str(path), I.DatasetConfig(multi_line=False)).collect()
+    texts = [r["text"] for r in sorted(items, key=lambda r: int(r["id"]))]
+    assert texts == ["a0", "a1", *[f"b{i}" for i in range(50)], *[f"c{i}" for i in range(5)]]
+
+
+def test_scratch_tables_are_removed(spark):
+    from labelflow.storage import materialise, scratch
+
+    with scratch(spark):
+        table = materialise(spark.range(5))
+        files = table.inputFiles()
+        assert table.count() == 5 and files
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)
