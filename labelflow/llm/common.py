@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: A word, for Java's and DuckDB's regular expressions alike.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of an Arrow batch between Spark and Python.
+BATCH_BYTES = "4m"
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +30,16 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on sends Arrow batches of few megabytes.
+
+    By default a batch may have 64 MB, which a task holds several times over:
+    in Arrow's own memory, on its way, and in Python.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return df
+
+
 def by_bytes(
     batches: Iterator[pa.RecordBatch], column: str, limit: int
 ) -> Iterator[pa.RecordBatch]:

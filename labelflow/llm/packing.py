@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, text_or_empty
+from labelflow.llm.common import by_bytes, text_batches, text_or_empty
 from labelflow.llm.tokens import WordEncoder, with_end
 from labelflow.storage import materialise
 
@@ -75,7 +75,7 @@ def token_pieces(
                 arrays.append(pa.ListArray.from_arrays(places, ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
-    return df.select(
+    return text_batches(df).select(
         F.col(key).alias("key"), text_or_empty(text).alias("text")
     ).mapInArrow(run, schema)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, text_or_empty
+from labelflow.llm.common import by_bytes, text_batches, text_or_empty
 from labelflow.llm.textbytes import BASE, TextBytes, mix
 
 #: Hashed features, of all families together.
@@ -213,7 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Model |
             )
 
     chosen = (
-        docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty("text").alias("text"))
+        text_batches(docs)
+        .select(F.col("doc_id").cast("long").alias("id"), text_or_empty("text").alias("text"))
         .join(F.broadcast(sample), F.col("id") == F.col("_id"))
         .groupBy("id", F.col("_label").cast("int").alias("label"))
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
@@ -287,7 +288,7 @@ def judge(docs: DataFrame, keys: list[str], text: str, model: Model | None) -> D
                 names=schema.names,
             )
 
-    judged = docs.select(
+    judged = text_batches(docs).select(
         *[F.col(k).alias(n) for n, k in zip(names, keys)], text_or_empty(text).alias("_text")
     ).mapInArrow(run, schema)
     return judged.withColumnsRenamed(dict(zip(names, keys)))
@@ -308,4 +309,4 @@ def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
             texts = Texts(column.cast(pa.binary()).to_pylist())
             yield batch.filter(pa.array(_verdicts(texts, fitted)[3]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return text_batches(docs).mapInArrow(run, docs.schema)

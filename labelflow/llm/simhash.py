@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, free_name, text_or_empty
+from labelflow.llm.common import by_bytes, free_name, text_batches, text_or_empty
 from labelflow.llm.components import connected
 from labelflow.storage import materialise
 
@@ -78,7 +78,7 @@ def fingerprints(df: DataFrame, keys: list[str], text: str, shingle: int) -> Dat
                 [*[batch.column(n) for n in names], values], names=schema.names
             )
 
-    hashed = df.select(
+    hashed = text_batches(df).select(
         *[F.col(k).alias(n) for n, k in zip(names, keys)], text_or_empty(text).alias("_text")
     ).mapInArrow(run, schema)
     return hashed.withColumnsRenamed(dict(zip(names, keys)))
@@ -241,7 +241,20 @@ def keep_one(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
     keys = stored.select(
         F.col("doc_id").alias("_id"), F.col(row).alias("_row"), F.col("text").alias("_text")
     )
-    found = _grouped(keys, ["_id", "_row"], "_text", shingle, radius)
+    found = materialise(
+        _grouped(keys, ["_id", "_row"], "_text", shingle, radius).select("_id", "_row", "group")
+    )
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
-    first = found.groupBy("group").agg(F.min(order)["_row"].alias("_keep")).select("_keep")
-    return stored.join(materialise(first), F.col(row) == F.col("_keep"), "left_semi").drop(row)
+    first = materialise(
+        found.groupBy("group")
+        .agg(F.min(order)["_row"].alias("_keep"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select(F.col("group").alias("_group"), "_keep")
+    )
+    # The rows to drop are far fewer than those that stay.
+    drop = materialise(
+        found.join(first, F.col("group") == F.col("_group"))
+        .where("_row <> _keep")
+        .select(F.col("_row").alias("_drop"))
+    )
+    return stored.join(drop, F.col(row) == F.col("_drop"), "left_anti").drop(row)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, free_name, text_or_empty
+from labelflow.llm.common import by_bytes, free_name, text_batches, text_or_empty
 from labelflow.llm.textbytes import TextBytes, mix
 from labelflow.storage import materialise
 
@@ -159,7 +159,7 @@ def repeats(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """
     names = [f"_k{i}" for i in range(len(keys))]
     stored = materialise(
-        df.select(
+        text_batches(df).select(
             *[F.col(k).alias(n) for n, k in zip(names, keys)],
             text_or_empty(text).alias("_text"),
             F.monotonically_increasing_id().alias("_row"),
@@ -206,7 +206,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
     row = free_name(docs, "_row")
     marks = free_name(docs, "_marks")
-    stored = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
+    stored = materialise(text_batches(docs).withColumn(row, F.monotonically_increasing_id()))
     columns = docs.columns
     text_at = columns.index("text")
     chars_at = columns.index("n_chars") if "n_chars" in columns else None

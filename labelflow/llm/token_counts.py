@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, text_or_empty
+from labelflow.llm.common import by_bytes, text_batches, text_or_empty
 from labelflow.llm.tokens import load_tokenizer, safe_pieces
 
 #: Characters of one piece, and of all pieces the library gets in one call.
@@ -84,7 +84,7 @@ def count_tokens(df: DataFrame, keys: list[str], text: str, tokenizer: str) -> D
                 [*columns, batch.column("_bytes"), pa.array(counts)], names=schema.names
             )
 
-    return df.select(
+    return text_batches(df).select(
         *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
         text_or_empty(text).alias("_text"),
         F.octet_length(text_or_empty(text)).cast("long").alias("_bytes"),

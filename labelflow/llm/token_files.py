@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, text_or_empty
+from labelflow.llm.common import by_bytes, text_batches, text_or_empty
 from labelflow.llm.tokens import WordEncoder, with_end
 
 #: Bytes of text encoded at once, and of ids read at once.
@@ -229,7 +229,8 @@ def write_token_files(
         )
 
     rows = (
-        df.select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
+        text_batches(df)
+        .select(F.col(key).cast("long").alias("key"), text_or_empty(text).alias("text"))
         .withColumn("tie", F.xxhash64("text"))
         .repartitionByRange(shards, "key", "tie")
         .sortWithinPartitions("key", "tie")

@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.llm.common import by_bytes
+from labelflow.llm.common import by_bytes, text_batches
 from labelflow.llm.token_files import open_store
 from labelflow.storage import materialise
 
@@ -104,7 +104,7 @@ def write_archives(
     spark = pages.sparkSession
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     stored = materialise(
-        pages.select(
+        text_batches(pages).select(
             F.col(page_id).cast("long").alias("page_id"),
             F.col(url).cast("string").alias("url"),
             body.alias("payload"),
