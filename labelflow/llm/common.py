@@ -8,8 +8,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelflow.storage import materialise
+
 #: A word, for Java's and DuckDB's regular expressions alike.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Rows of ids and numbers in one file, for tables that shrink from round to round.
+ROWS_PER_FILE = 50_000
 #: Bytes of an Arrow batch between Spark and Python.
 BATCH_BYTES = "4m"
 
@@ -40,6 +44,13 @@ def text_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def store_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``materialise`` a table of at most ``rows`` narrow rows in as few files as
+    that takes, however many partitions it was shuffled into: a round over a
+    small table should not write and read hundreds of files."""
+    return materialise(df.coalesce(max(1, -(-rows // ROWS_PER_FILE))))
+
+
 def by_bytes(
     batches: Iterator[pa.RecordBatch], column: str, limit: int
 ) -> Iterator[pa.RecordBatch]:

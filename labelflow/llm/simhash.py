@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from labelflow.llm.common import by_bytes, free_name, text_batches, text_or_empty
+from labelflow.llm.common import by_bytes, free_name, store_rows, text_batches, text_or_empty
 from labelflow.llm.components import connected
 from labelflow.storage import materialise
 
@@ -28,54 +28,60 @@ TEXT_BYTES = 4 << 20
 BLOCK = 2_048
 
 
-def fingerprint(text: bytes, shingle: int) -> int:
-    """64 bits; bit i is set if over half the shingles' hashes have it set.
+def fingerprint(text: bytes, *shingles: int) -> list[int]:
+    """64 bits for each size of shingle; bit i is set if over half the shingles'
+    hashes have it set.
 
-    Shingles of ``shingle`` words, with repeats; a shorter text is one shingle,
+    Shingles are of so many words, with repeats; a shorter text is one shingle,
     and a text without words has fingerprint 0.
     """
     from xxhash import xxh64_intdigest
 
-    found = text.translate(FOLD).split(b" ")
-    found = [w for w in found if w]
+    found = [w for w in text.translate(FOLD).split(b" ") if w]
     if not found:
-        return 0
+        return [0] * len(shingles)
     line = b" ".join(found)
     lengths = np.fromiter(map(len, found), np.int64, len(found)) + 1
     ends = np.cumsum(lengths) - 1
     starts = ends + 1 - lengths
-    n = max(1, len(found) - shingle + 1)
-    first, last = starts[:n].tolist(), ends[len(found) - n :].tolist()
-    counts = np.zeros(64, np.int64)
-    for at in range(0, n, STEP):
-        hashes = np.array(
-            [
-                xxh64_intdigest(line[s:e], SEED)
-                for s, e in zip(first[at : at + STEP], last[at : at + STEP])
-            ],
-            "<u8",
-        )
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.uint16 if STEP < 1 << 16 else np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
+    out = []
+    for shingle in shingles:
+        n = max(1, len(found) - shingle + 1)
+        first, last = starts[:n].tolist(), ends[len(found) - n :].tolist()
+        counts = np.zeros(64, np.int64)
+        for at in range(0, n, STEP):
+            hashes = np.array(
+                [
+                    xxh64_intdigest(line[s:e], SEED)
+                    for s, e in zip(first[at : at + STEP], last[at : at + STEP])
+                ],
+                "<u8",
+            )
+            bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            counts += bits.sum(axis=0, dtype=np.uint16)  # STEP is less than 2 ** 16
+        out.append(int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0]))
+    return out
 
 
-def fingerprints(df: DataFrame, keys: list[str], text: str, shingle: int) -> DataFrame:
-    """``keys`` and ``fp`` (long) for every row; a null text has no words."""
+def fingerprints(df: DataFrame, keys: list[str], text: str, shingles: dict[str, int]) -> DataFrame:
+    """``keys`` and a long column for each of ``shingles`` (name to words), for
+    every row; a null text has no words."""
     names = [f"_k{i}" for i in range(len(keys))]
     schema = T.StructType(
         [
             *[T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)],
-            T.StructField("fp", T.LongType()),
+            *[T.StructField(n, T.LongType()) for n in shingles],
         ]
     )
+    sizes = list(shingles.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, "_text", TEXT_BYTES):
             texts = batch.column("_text").cast(pa.binary()).to_pylist()
-            values = pa.array([fingerprint(t, shingle) for t in texts], pa.int64())
+            values = zip(*[fingerprint(t, *sizes) for t in texts])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], values], names=schema.names
+                [*[batch.column(n) for n in names], *[pa.array(v, pa.int64()) for v in values]],
+                names=schema.names,
             )
 
     hashed = text_batches(df).select(
@@ -102,34 +108,40 @@ def covering_masks(radius: int) -> list[int]:
     return masks
 
 
-def _stars(values: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what is within ``radius``: each value but the first
-    of its component, with that first one."""
+def _stars(
+    values: np.ndarray, also: np.ndarray, radius: int, also_radius: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Links, as places, that connect what is within both radii: each place but
+    the first of its component, with that first one."""
     n = len(values)
     label = np.arange(n)
     while True:
         new = label.copy()
         for at in range(0, n, 256):
-            near = np.bitwise_count(values[at : at + 256, None] ^ values[None, :]) <= radius
-            new[at : at + 256] = np.where(near, label[None, :], n).min(axis=1)
+            some = slice(at, at + 256)
+            near = np.bitwise_count(values[some, None] ^ values[None, :]) <= radius
+            if also_radius < 64:
+                near &= np.bitwise_count(also[some, None] ^ also[None, :]) <= also_radius
+            new[some] = np.where(near, label[None, :], n).min(axis=1)
         new = np.minimum(new, new[new])
         if (new == label).all():
             break
         label = new
     linked = np.flatnonzero(label != np.arange(n))
-    return values[linked], values[label[linked]]
+    return linked, label[linked]
 
 
-def near_links(distinct: DataFrame, fp: str, radius: int) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that connect all that are
-    within ``radius`` bits, directly or through others.
+def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFrame:
+    """Links (a, b) between nodes (node, fp, also) that connect all whose fp are
+    within ``radius`` bits and whose also are within ``also_radius``, directly
+    or through others. ``node`` and (fp, also) are distinct.
 
-    One row per fingerprint and mask goes into a partial aggregate; most
-    buckets have one member and end there, those of two are compared in place.
-    Only members of fuller buckets move again. A bucket of n members is dealt
-    into n / BLOCK blocks and every pair of blocks is compared by some task, so
-    no task holds more than two blocks and no link is lost. A task returns
-    a tree of links for each component it sees, never all pairs.
+    One row per node and mask goes into a partial aggregate; most buckets have
+    one member and end there, those of two are compared as pairs. Only members
+    of fuller buckets move again. A bucket of n members is dealt into n / BLOCK
+    blocks and every pair of blocks is compared by some task, so no task holds
+    more than two blocks and no link is lost. A task returns a tree of links
+    for each component it sees, never all pairs.
     """
     masks = covering_masks(radius)
     tables = F.explode(
@@ -140,21 +152,42 @@ def near_links(distinct: DataFrame, fp: str, radius: int) -> DataFrame:
             ]
         )
     )
-    keyed = distinct.select(F.col(fp).alias("fp")).select("fp", tables.alias("x")).select(
-        "fp", "x.t", "x.key"
+    keyed = nodes.select("node", "fp", "also", tables.alias("x")).select(
+        "node", "fp", "also", "x.t", "x.key"
     )
     buckets = materialise(
         keyed.groupBy("t", "key")
-        .agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"))
+        .agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
         .where("n > 1")
     )
-    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    pairs = buckets.where((F.col("n") == 2) & (apart <= radius)).select("a", "b")
+
+    def end(name: str) -> DataFrame:
+        return nodes.select(
+            F.col("node").alias(name), F.col("fp").alias(f"{name}_fp"), F.col("also").alias(f"{name}_also")
+        )
+
+    def apart(what: str):
+        return F.bit_count(F.col(f"a_{what}").bitwiseXOR(F.col(f"b_{what}")))
+
+    pairs = (
+        buckets.where("n = 2")
+        .select("a", "b")
+        .distinct()
+        .join(end("a"), "a")
+        .join(end("b"), "b")
+        .where((apart("fp") <= radius) & (apart("also") <= also_radius))
+        .select("a", "b")
+    )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(values: list[np.ndarray]) -> pa.RecordBatch:
-            a, b = _stars(np.unique(np.concatenate(values)), radius)
-            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def linked(parts: list[np.ndarray]) -> pa.RecordBatch:
+            node, fp, also = np.concatenate(parts, axis=1)
+            _, once = np.unique(node, return_index=True)
+            node, fp, also = node[once], fp[once], also[once]
+            a, b = _stars(fp, also, radius, also_radius)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(node[a]), pa.array(node[b])], names=["a", "b"]
+            )
 
         current, held = None, []
         for batch in batches:
@@ -163,28 +196,31 @@ def near_links(distinct: DataFrame, fp: str, radius: int) -> DataFrame:
             parts = [batch.column(c).to_numpy() for c in ("t", "key", "low", "high")]
             changed = np.any([np.diff(p) != 0 for p in parts], axis=0)
             edges = [0, *(np.flatnonzero(changed) + 1), batch.num_rows]
-            values = batch.column("fp").to_numpy()
+            values = np.stack([batch.column(c).to_numpy() for c in ("node", "fp", "also")])
             for low, high in zip(edges, edges[1:]):
                 cell = tuple(p[low] for p in parts)
                 if cell != current and held:
                     yield linked(held)
                     held = []
                 current = cell
-                held.append(values[low:high])
+                held.append(values[:, low:high])
         if held:
             yield linked(held)
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     crowded = buckets.where("n > 2").select("t", "key", "n")
     members = (
         keyed.join(crowded, ["t", "key"])
         .withColumn("blocks", blocks)
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("t", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "fp")
+        .select(
+            "t", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "node", "fp", "also",
+        )
     )
-    many = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
         members.repartition(many, "t", "key", "low", "high")
         .sortWithinPartitions("t", "key", "low", "high")
@@ -193,24 +229,47 @@ def near_links(distinct: DataFrame, fp: str, radius: int) -> DataFrame:
     return pairs.union(found)
 
 
-def _grouped(df: DataFrame, keys: list[str], text: str, shingle: int, radius: int) -> DataFrame:
-    """``keys``, fp, group (a fingerprint of the component) and component_id."""
-    hashed = materialise(fingerprints(df, keys, text, shingle))
-    distinct = materialise(hashed.groupBy("fp").agg(F.min(keys[0]).alias("least")))
-    nodes = materialise(connected(near_links(distinct, "fp", radius)))
-    in_group = distinct.join(nodes, F.col("fp") == F.col("node"))
-    least = in_group.groupBy("root").agg(F.min("least").alias("component"))
-    linked = materialise(nodes.join(least, "root").select("node", "root", "component"))
-    of_fp = materialise(
-        distinct.join(linked, F.col("fp") == F.col("node"), "left").select(
-            F.col("fp").alias("_fp"),
-            F.coalesce("root", "fp").alias("group"),
-            F.when(F.col("node").isNull(), F.col("least"))
+def _grouped(
+    df: DataFrame, keys: list[str], text: str, shingle: int, radius: int,
+    also_shingle: int | None = None, also_radius: int = 64,
+) -> DataFrame:
+    """``keys``, fp, group (a node of the component) and component_id.
+
+    With ``also_shingle``, links must be near in a second fingerprint as well.
+    A node is then a hash of both, else the one fingerprint itself.
+    """
+    shingles = {"fp": shingle} | ({"also": also_shingle} if also_shingle else {})
+    hashed = materialise(
+        fingerprints(df, keys, text, shingles).withColumns(
+            {"node": F.xxhash64("fp", "also")}
+            if also_shingle
+            else {"node": F.col("fp"), "also": F.lit(0).cast("long")}
+        )
+    )
+    rows = hashed.count()
+    distinct = store_rows(
+        hashed.groupBy("node").agg(
+            F.min(keys[0]).alias("least"), F.min("fp").alias("fp"), F.min("also").alias("also")
+        ),
+        rows,
+    )
+    links = near_links(distinct.select("node", "fp", "also"), radius, also_radius)
+    nodes = store_rows(connected(links), rows)
+    least = distinct.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component"))
+    linked = store_rows(nodes.join(least, "root").select("node", "root", "component"), rows)
+    of_node = store_rows(
+        distinct.select("node", "least").join(linked, "node", "left").select(
+            F.col("node").alias("_node"),
+            F.coalesce("root", "node").alias("group"),
+            F.when(F.col("root").isNull(), F.col("least"))
             .otherwise(F.col("component"))
             .alias("component_id"),
-        )
+        ),
+        rows,
+    )
+    return hashed.join(of_node, F.col("node") == F.col("_node")).select(
+        *keys, "fp", "group", "component_id"
     )
-    return hashed.join(of_fp, F.col("fp") == F.col("_fp")).drop("_fp")
 
 
 def near_duplicates(
@@ -230,9 +289,13 @@ def near_duplicates(
     )
 
 
-def keep_one(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
+def keep_one(
+    docs: DataFrame, shingle: int, radius: int, also_shingle: int | None = None, also_radius: int = 64
+) -> DataFrame:
     """``docs`` with one row of each component: that of the least doc_id.
 
+    Rows link if their fingerprints are within ``radius`` bits and, with
+    ``also_shingle``, those of a second shingle size within ``also_radius``.
     Null ids come last; among rows of one doc_id the first in storage stays.
     The columns of ``docs`` are returned as they are.
     """
@@ -242,19 +305,24 @@ def keep_one(docs: DataFrame, shingle: int, radius: int) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col(row).alias("_row"), F.col("text").alias("_text")
     )
     found = materialise(
-        _grouped(keys, ["_id", "_row"], "_text", shingle, radius).select("_id", "_row", "group")
+        _grouped(
+            keys, ["_id", "_row"], "_text", shingle, radius, also_shingle, also_radius
+        ).select("_id", "_row", "group")
     )
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
-    first = materialise(
+    rows = found.count()
+    first = store_rows(
         found.groupBy("group")
         .agg(F.min(order)["_row"].alias("_keep"), F.count("*").alias("n"))
         .where("n > 1")
-        .select(F.col("group").alias("_group"), "_keep")
+        .select(F.col("group").alias("_group"), "_keep"),
+        rows,
     )
     # The rows to drop are far fewer than those that stay.
-    drop = materialise(
+    drop = store_rows(
         found.join(first, F.col("group") == F.col("_group"))
         .where("_row <> _keep")
-        .select(F.col("_row").alias("_drop"))
+        .select(F.col("_row").alias("_drop")),
+        rows,
     )
     return stored.join(drop, F.col(row) == F.col("_drop"), "left_anti").drop(row)
