@@ -26,6 +26,8 @@ TEXT_BYTES = 4 << 20
 #: Fingerprints of a bucket that one task compares with each other; fuller
 #: buckets are dealt into blocks, and all pairs of blocks are compared.
 BLOCK = 2_048
+#: Row numbers of dropped documents (8 bytes each) that are broadcast.
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: bytes, *shingles: int) -> list[int]:
@@ -325,4 +327,6 @@ def keep_one(
         .select(F.col("_row").alias("_drop")),
         rows,
     )
+    if drop.count() <= BROADCAST_ROWS:  # else both sides move
+        drop = F.broadcast(drop)
     return stored.join(drop, F.col(row) == F.col("_drop"), "left_anti").drop(row)
