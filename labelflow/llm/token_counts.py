@@ -11,43 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.llm.common import by_bytes, text_batches, text_or_empty
-from labelflow.llm.tokens import load_tokenizer, safe_pieces
+from labelflow.llm.tokens import PieceCounter, load_tokenizer
 
-#: Characters of one piece, and of all pieces the library gets in one call.
-PIECE = 1 << 15
+#: Characters of all pieces the library gets in one call, and bytes of texts
+#: that are split at once.
 CALL = 1 << 18
-
-
-def _lengths(tokenizer, texts: list[str], whole: bool) -> np.ndarray:
-    """Tokens of each text. Calls are filled with pieces of like total size."""
-    counts = np.zeros(len(texts), np.int64)
-    pieces: list[str] = []
-    owners: list[int] = []
-
-    def flush() -> None:
-        if whole:
-            found = [len(x) for x in tokenizer.encode(pieces, num_threads=1)]
-        else:
-            found = [
-                len(x)
-                for x in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-            ]
-        np.add.at(counts, owners, found)
-        pieces.clear()
-        owners.clear()
-
-    held = 0
-    for i, text in enumerate(texts):
-        for piece in [text] if whole else safe_pieces(text, PIECE):
-            if pieces and held + len(piece) > CALL:
-                flush()
-                held = 0
-            pieces.append(piece)
-            owners.append(i)
-            held += len(piece)
-    if pieces:
-        flush()
-    return counts
+TEXT_BYTES = 4 << 20
 
 
 def count_tokens(df: DataFrame, keys: list[str], text: str, tokenizer: str) -> DataFrame:
@@ -56,9 +25,10 @@ def count_tokens(df: DataFrame, keys: list[str], text: str, tokenizer: str) -> D
     ``tokenizer`` is the path of a file for ``tokenizers`` (.json) or
     ``sentencepiece`` (.model); counts are the library's, without begin, end or
     other added tokens. Special strings inside a text count as the library
-    takes them by default. Map-only: no shuffle, and a task holds one call's
-    pieces at a time. Texts for .json files are split at safe boundaries, those
-    for .model files stay whole, as sentencepiece joins white space.
+    takes them by default. Map-only: no shuffle. Texts for .json files are split
+    at safe boundaries, and each task encodes a distinct piece once, in calls
+    balanced by size; those for .model files stay whole, as sentencepiece joins
+    white space. Only lengths are kept.
 
     A null or empty text has 0 bytes and 0 tokens. Repeated rows, null keys and
     an empty table need no care; other columns of ``df``, whatever their names,
@@ -75,10 +45,16 @@ def count_tokens(df: DataFrame, keys: list[str], text: str, tokenizer: str) -> D
     whole = tokenizer.endswith(".model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded = None
-        for batch in by_bytes(batches, "_text", CALL * 8):
-            loaded = loaded or load_tokenizer(tokenizer)
-            counts = _lengths(loaded, batch.column("_text").to_pylist(), whole)
+        counter = None
+        for batch in by_bytes(batches, "_text", TEXT_BYTES):
+            texts = batch.column("_text")
+            if whole:
+                counter = counter or load_tokenizer(tokenizer)
+                found = counter.encode(texts.to_pylist(), num_threads=1)
+                counts = np.array([len(x) for x in found], np.int64)
+            else:
+                counter = counter or PieceCounter(tokenizer, CALL)
+                counts = counter.count(texts)
             columns = [batch.column(f"_k{i}") for i in range(len(keys))]
             yield pa.RecordBatch.from_arrays(
                 [*columns, batch.column("_bytes"), pa.array(counts)], names=schema.names

@@ -6,7 +6,6 @@ The tokenizer's file is a parameter and must be readable where tasks run.
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -19,11 +18,6 @@ MARK = "\x01"
 REMEMBERED = 400_000
 #: Words encoded in one text of a library batch.
 JOINED = 2_000
-#: A space or line end after a character that no library takes for white space.
-BOUNDARY = re.compile(
-    "(?<=[^\\s" + "".join(map(chr, (0x180E, 0x200B, 0xFEFF))) + "])[ \\n]"
-)
-
 
 def load_tokenizer(path: str):
     """A ``tokenizers`` (.json) or ``sentencepiece`` (.model) object."""
@@ -37,24 +31,6 @@ def load_tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def safe_pieces(text: str, limit: int) -> list[str]:
-    """Cut a long text where white space begins, into pieces of about ``limit``.
-
-    The patterns of byte-level and word-end BPE files never join a character
-    with white space after it, so the pieces' tokens are the text's. A stretch
-    without such a place stays whole.
-    """
-    pieces, start = [], 0
-    while len(text) - start > limit:
-        found = BOUNDARY.search(text, start + limit)
-        if not found:
-            break
-        pieces.append(text[start : found.start()])
-        start = found.start()
-    pieces.append(text[start:])
-    return pieces
-
-
 class WordEncoder:
     """Ids of whole texts by a tokenizer that drops white space.
 
@@ -146,3 +122,59 @@ class WordEncoder:
 def with_end(ids: np.ndarray, bounds: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """The same with ``end_id`` after the ids of each text."""
     return np.insert(ids, bounds[1:], np.uint32(end_id)), bounds + np.arange(len(bounds))
+
+
+class PieceCounter:
+    """Token counts of whole texts by a tokenizer that keeps white space.
+
+    Texts are split at safe boundaries: where a space or line end follows another
+    kind of character. The patterns of byte-level BPE files never join a
+    character with white space after it, so the pieces' tokens are the text's.
+    The library encodes each distinct piece once, in calls of about ``call``
+    characters; only the counts are kept. Texts that hold the zero character, which parts the
+    pieces, are encoded by themselves.
+    """
+
+    _PART = "\0"
+    # Unlike Python's, this class lists what other libraries take for white space.
+    _SPLIT = (
+        r"([^\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}"
+        r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}])([ \n])"
+    )
+
+    def __init__(self, path: str, call: int):
+        self.tokenizer = load_tokenizer(path)
+        self.call = call
+        self.known: dict[str, int] = {}
+
+    def _learn(self, pieces: list[str]) -> None:
+        held, size = [], 0
+        for piece in [*pieces, None]:
+            if held and (piece is None or size + len(piece) > self.call):
+                found = self.tokenizer.encode_batch_fast(held, add_special_tokens=False)
+                self.known.update(zip(held, map(len, found)))
+                held, size = [], 0
+            if piece is not None:
+                held.append(piece)
+                size += len(piece)
+
+    def count(self, texts: pa.Array) -> np.ndarray:
+        """Tokens of each text; no null texts."""
+        texts = texts.cast(pa.string())
+        odd = pc.match_substring(texts, self._PART)
+        marked = pc.replace_substring_regex(
+            pc.if_else(odd, "", texts), self._SPLIT, f"\\1{self._PART}\\2"
+        )
+        lists = pc.split_pattern(marked, self._PART)
+        offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
+        coded = lists.flatten().dictionary_encode()
+        pieces = coded.dictionary.to_pylist()
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        self._learn([p for p in pieces if p not in self.known])
+        lengths = np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
+        sums = np.concatenate([[0], np.cumsum(lengths[np.asarray(coded.indices)])])
+        counts = sums[offsets[1:]] - sums[offsets[:-1]]
+        for i in np.flatnonzero(np.asarray(odd)):
+            counts[i] = len(self.tokenizer.encode(texts[int(i)].as_py(), add_special_tokens=False))
+        return counts

@@ -28,7 +28,7 @@ from labelflow.llm import (
     warc,
 )
 from labelflow.llm.components import connected
-from labelflow.llm.tokens import WordEncoder, load_tokenizer, safe_pieces
+from labelflow.llm.tokens import PieceCounter, WordEncoder
 from labelflow.storage import scratch_dir
 
 WORDS = tokenizer_path("word_bpe_49k.json")
@@ -97,17 +97,17 @@ def test_word_encoder_on_odd_texts():
         WordEncoder(BYTES)
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet=st.sampled_from("ab.1' \n\t\u00a0\x1c\u180e<|é"), max_size=80), st.integers(1, 20))
-def test_pieces_are_safe(text, limit):
-    tokenizer = test_pieces_are_safe.tokenizer
-    pieces = safe_pieces(text, limit)
-    assert "".join(pieces) == text
-    found = [i for p in pieces for i in tokenizer.encode(p, add_special_tokens=False).ids]
-    assert found == tokenizer.encode(text, add_special_tokens=False).ids
+@settings(max_examples=80, deadline=None)
+@given(
+    st.lists(st.text(max_size=60) | st.text(alphabet=st.sampled_from("ab.1' \n\t\u00a0\x1c\u180e\x00<|é\u3000"), max_size=60), max_size=5)
+)
+def test_piece_counter_equals_library(texts):
+    counter = test_piece_counter_equals_library.counter
+    expected = [len(counter.tokenizer.encode(t, add_special_tokens=False)) for t in texts]
+    assert counter.count(pa.array(texts, pa.string())).tolist() == expected
 
 
-test_pieces_are_safe.tokenizer = load_tokenizer(BYTES)
+test_piece_counter_equals_library.counter = PieceCounter(BYTES, 100)
 
 
 def test_token_counts(odd, none, odd_rows):
@@ -227,8 +227,8 @@ def test_links_of_full_buckets(spark, monkeypatch):
             for i in chosen.sample(range(63), chosen.randint(0, 3)):
                 v ^= 1 << i
             values.add(v)
-    df = spark.createDataFrame([(v,) for v in values], "fp long")
-    found = connected(simhash.near_links(df, "fp", 2)).collect()
+    df = spark.createDataFrame([(v, v, 0) for v in values], "node long, fp long, also long")
+    found = connected(simhash.near_links(df, 2)).collect()
     root = {r["node"]: r["root"] for r in found}
     parent = {v: v for v in values}
 

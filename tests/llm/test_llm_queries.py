@@ -53,8 +53,9 @@ def fingerprint(text, shingle=3):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(prints, radius):
+def components(prints, radius, also=None, also_radius=64):
     """Least key reachable, by comparing all pairs."""
+    also = also or dict.fromkeys(prints, 0)
     parent = {k: k for k in prints}
 
     def find(k):
@@ -65,7 +66,8 @@ def components(prints, radius):
     keys = sorted(prints)
     for i, a in enumerate(keys):
         for b in keys[:i]:
-            if (prints[a] ^ prints[b]).bit_count() <= radius:
+            near = (prints[a] ^ prints[b]).bit_count() <= radius
+            if near and (also[a] ^ also[b]).bit_count() <= also_radius:
                 x, y = sorted((find(a), find(b)))
                 parent[y] = x
     return {k: find(k) for k in keys}
@@ -204,7 +206,9 @@ def test_pipeline_stages(spark, documents):
     unique = stages[1][1](spark, docs, SF_DIR).toPandas()
     prints = {r.doc_id: fingerprint(r.text, corpus_pipeline.SHINGLE) for r in kept.itertuples()}
     assert list(unique.columns) == columns
-    assert sorted(unique["doc_id"]) == sorted(set(components(prints, corpus_pipeline.RADIUS).values()))
+    also = {r.doc_id: fingerprint(r.text, corpus_pipeline.ALSO_SHINGLE) for r in kept.itertuples()}
+    groups = components(prints, corpus_pipeline.RADIUS, also, corpus_pipeline.ALSO_RADIUS)
+    assert sorted(unique["doc_id"]) == sorted(set(groups.values()))
 
     docs = spark.createDataFrame(unique, docs.schema)
     cut = stages[2][1](spark, docs, SF_DIR).toPandas()
