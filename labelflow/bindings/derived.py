@@ -207,6 +207,7 @@ responses AS (
   FROM labelled
 )"""
 
+# The separators of ``functions.labels``, as DuckDB spells them.
 SEP_REGEX = (
     r"    |   |  |\n|<TAB>|TAB|<tab>|\(tab\)|<Tab>|\[tab\]|\x{25aa}\x{fe0f}|\(Tab\)"
     r"|\x{a0}\x{a0}\x{a0}\x{a0}|\x{a0}|\x{2003}|\x{3001}|\x0b|\x0c|;|\.|--|-|\x{2013}"

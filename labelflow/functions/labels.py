@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 
 from labelflow.functions.text import let, strip
 
-# Everything that separates two labels in a response. The order
-# counts: at one position the first entry that fits is taken.
+# Everything that separates two labels in a response, the prefix
+# that a label may have, and what a quoted or plain run is. The order of the
+# separators counts: at one position the first entry that fits is taken.
 SEPARATORS = [
     "    ", "   ", "  ", "\n",
     "<TAB>", "TAB", "<tab>", "(tab)", "<Tab>", "[tab]",
