@@ -13,7 +13,7 @@ from labelflow.storage import materialise
 #: A word, for Java's and DuckDB's regular expressions alike.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of ids and numbers in one file, for tables that shrink from round to round.
-ROWS_PER_FILE = 50_000
+ROWS_PER_FILE = 10_000
 #: Bytes of an Arrow batch between Spark and Python.
 BATCH_BYTES = "4m"
 
