@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -66,43 +65,48 @@ class Chunks(TextBytes):
 
 
 def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, place (a running number over all tasks) and digest of every chunk."""
-    place = TaskContext.get().partitionId() << 40
+    """row, i (number in the row), digest and again (the row has the digest
+    before) of every chunk."""
     for batch in by_bytes(batches, "text", TEXT_BYTES):
         chunks = Chunks(batch.column("text").cast(pa.binary()).to_pylist())
         rows = batch.column("row").take(pa.array(chunks.of_text))
-        number = np.arange(len(chunks.first))
+        number = np.arange(len(chunks.first)) - chunks.bounds[chunks.of_text]
+        order = np.lexsort((chunks.digest, chunks.of_text))  # stable: equal ones stay in order
+        same = (np.diff(chunks.digest[order]) == 0) & (np.diff(chunks.of_text[order]) == 0)
+        again = np.zeros(len(order), bool)
+        again[order[1:][same]] = True
         for at in range(0, len(number), 50_000):
             some = slice(at, at + 50_000)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows[some],
-                    pa.array(place + number[some]),
-                    pa.array((number - chunks.bounds[chunks.of_text])[some]),
+                    pa.array(number[some]),
                     pa.array(chunks.digest.view(np.int64)[some]),
+                    pa.array(again[some]),
                 ],
-                names=["row", "place", "i", "digest"],
+                names=["row", "i", "digest", "again"],
             )
-        place += len(number)
 
 
 def _marks(stored: DataFrame, row: str, text: str) -> DataFrame:
     """row and the numbers of its chunks that occurred earlier in the table.
 
-    One partial aggregate finds each digest's first place; only digests that
-    occur twice are stored and joined with all chunks. Both sides of that join
-    are plain, so a very frequent chunk is split.
+    Earlier is by the stored row number and then by the place in the row, so
+    that it does not matter how the two scans are split into tasks. One partial
+    aggregate finds each digest's first row; only digests that occur twice are
+    stored and joined with all chunks. Both sides of that join are plain, so a
+    very frequent chunk is split.
     """
     chunks = stored.select(F.col(row).alias("row"), text_or_empty(text).alias("text")).mapInArrow(
-        _chunk, "row long, place long, i long, digest long"
+        _chunk, "row long, i long, digest long, again boolean"
     )
     repeated = materialise(
         chunks.groupBy("digest")
-        .agg(F.min("place").alias("first"), F.count("*").alias("n"))
+        .agg(F.min("row").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .select(F.col("digest").alias("_digest"), "first")
     )
-    later = chunks.join(repeated, F.col("digest") == F.col("_digest")).where("place > first")
+    later = chunks.join(repeated, F.col("digest") == F.col("_digest")).where("row > first or again")
     return later.groupBy(F.col("row").alias("_marked")).agg(F.collect_list("i").alias("_marks"))
 
 

@@ -283,6 +283,20 @@ def test_repeats_cases(spark, odd, none, odd_rows):
         assert prose(40, 200 + r["doc_id"]) in r["text"]
 
 
+def test_earlier_is_by_row_number_not_by_task(spark):
+    """Tasks that hold the rows in another order mark the same chunks."""
+    text = prose(80, 5)
+    rows = [(1, text), (0, text), (2, f"{prose(60, 6)} {text} {text}")]
+    marks = []
+    for order in (rows, sorted(rows)):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(order, 3), "row long, text string")
+        found = substring_dedup._marks(df, "row", "text").collect()
+        marks.append({r["_marked"]: sorted(r["_marks"]) for r in found})
+    assert marks[0] == marks[1] and set(marks[0]) == {1, 2}
+    chunks = substring_dedup.Chunks([text.encode()])
+    assert marks[0][1] == list(range(len(chunks.first)))
+
+
 def test_word_boundaries_resist_insertions():
     text = prose(400, 4).encode()
     first = substring_dedup.Chunks([text])
