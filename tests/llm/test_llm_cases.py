@@ -297,6 +297,24 @@ def test_earlier_is_by_row_number_not_by_task(spark):
     assert marks[0][1] == list(range(len(chunks.first)))
 
 
+@pytest.mark.parametrize("period", range(1, 9))
+def test_repeated_lines_are_cut_at_the_same_words(period):
+    """60 words that repeat a short line, behind different words: most of them are
+    in whole chunks that both documents have."""
+    for seed in range(60):
+        line = prose(period, 1_000 * period + seed).split()
+        passage = (line * 60)[:60]
+        chunks = []
+        for side in (1, 2):
+            around = [prose(30 + (7 * seed * side) % 23, 31 * seed + 7 * side + k) for k in (0, 3)]
+            text = " ".join([around[0], *passage, around[1]])
+            chunks.append(substring_dedup.Chunks([text.encode()]))
+        shared = np.isin(chunks[1].digest, chunks[0].digest)
+        assert chunks[1].size[shared].sum() >= 30, (period, seed)
+        found = substring_dedup._passages(chunks[1], 0, np.flatnonzero(shared))
+        assert sum(b - a for a, b in found) >= 30, (period, seed)
+
+
 def test_word_boundaries_resist_insertions():
     text = prose(400, 4).encode()
     first = substring_dedup.Chunks([text])
