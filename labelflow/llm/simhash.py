@@ -92,6 +92,19 @@ def fingerprints(df: DataFrame, keys: list[str], text: str, shingles: dict[str,
     return hashed.withColumnsRenamed(dict(zip(names, keys)))
 
 
+def _codes() -> list[int]:
+    """The columns of a linear code [64, 10, 28] (an extended BCH code): for x in
+    GF(64) the bits of x, a one, and the three bits of x ** 9, which is in GF(8)."""
+    power = [1]
+    for _ in range(62):
+        power.append(power[-1] << 1 ^ (0b1000011 if power[-1] & 32 else 0))
+    low = {0: 0}
+    for bit, element in enumerate((power[0], power[9], power[18])):
+        low |= {known ^ element: c | 1 << bit for known, c in low.items()}
+    ninth = {x: power[9 * k % 63] for k, x in enumerate(power)} | {0: 0}
+    return [low[ninth[x]] << 7 | 64 | x for x in range(64)]
+
+
 def covering_masks(radius: int) -> list[int]:
     """2 ** (radius + 1) - 1 masks of 64 bits such that any two values that
     differ in at most ``radius`` bits agree on all bits of some mask.
@@ -100,9 +113,15 @@ def covering_masks(radius: int) -> list[int]:
     code has an odd number of bits in common with v. The codes of the differing
     places span at most ``radius`` dimensions, so some v is orthogonal to them
     all, and its mask keeps none of these places (Pagh 2016).
+
+    A mask that keeps few bits has few and crowded buckets. Numbers from 1 are
+    good codes while they use all their bits; from radius 6 on, ``_codes`` let
+    no mask keep less than 28 bits (32 at radius 6), up to radius 9.
     """
+    if not 1 <= radius <= 9:
+        raise ValueError("no wide masks are known for this radius")
     n = (1 << (radius + 1)) - 1
-    codes = [1 + place % n for place in range(64)]
+    codes = [code & n for code in _codes()] if radius > 5 else [1 + place % n for place in range(64)]
     masks = []
     for v in range(1, n + 1):
         kept = sum(1 << i for i, code in enumerate(codes) if (code & v).bit_count() & 1)
@@ -143,22 +162,16 @@ def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFram
     of fuller buckets move again. A bucket of n members is dealt into n / BLOCK
     blocks and every pair of blocks is compared by some task, so no task holds
     more than two blocks and no link is lost. A task returns a tree of links
-    for each component it sees, never all pairs.
+    for each component it sees, never all pairs. A bucket's key is a hash of
+    mask and bits: buckets that share one are compared as one.
     """
     masks = covering_masks(radius)
-    tables = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(t).cast("short").alias("t"), F.col("fp").bitwiseAND(m).alias("key"))
-                for t, m in enumerate(masks)
-            ]
-        )
-    )
-    keyed = nodes.select("node", "fp", "also", tables.alias("x")).select(
-        "node", "fp", "also", "x.t", "x.key"
+    keys = F.array(
+        *[F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(m)) for t, m in enumerate(masks)]
     )
+    keyed = nodes.select("node", F.explode(keys).alias("key"))
     buckets = materialise(
-        keyed.groupBy("t", "key")
+        keyed.groupBy("key")
         .agg(F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"))
         .where("n > 1")
     )
@@ -195,7 +208,7 @@ def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFram
         for batch in batches:
             if not batch.num_rows:
                 continue
-            parts = [batch.column(c).to_numpy() for c in ("t", "key", "low", "high")]
+            parts = [batch.column(c).to_numpy() for c in ("key", "low", "high")]
             changed = np.any([np.diff(p) != 0 for p in parts], axis=0)
             edges = [0, *(np.flatnonzero(changed) + 1), batch.num_rows]
             values = np.stack([batch.column(c).to_numpy() for c in ("node", "fp", "also")])
@@ -211,21 +224,22 @@ def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFram
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    crowded = buckets.where("n > 2").select("t", "key", "n")
+    crowded = buckets.where("n > 2").select("key", "n")
     members = (
-        keyed.join(crowded, ["t", "key"])
+        keyed.join(crowded, "key")
         .withColumn("blocks", blocks)
         .withColumn("own", own)
+        .join(nodes, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
-            "t", "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+            "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
             "node", "fp", "also",
         )
     )
     many = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = (
-        members.repartition(many, "t", "key", "low", "high")
-        .sortWithinPartitions("t", "key", "low", "high")
+        members.repartition(many, "key", "low", "high")
+        .sortWithinPartitions("key", "low", "high")
         .mapInArrow(link, "a long, b long")
     )
     return pairs.union(found)

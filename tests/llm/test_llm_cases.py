@@ -215,6 +215,17 @@ def test_covering_masks():
             assert any(not differ & m for m in masks)
 
 
+@pytest.mark.parametrize("radius, least", [(5, 31), (6, 32), (7, 28), (8, 28), (9, 28)])
+def test_every_covering_mask_is_wide(radius, least):
+    masks = [m % (1 << 64) for m in simhash.covering_masks(radius)]
+    assert len(set(masks)) == 2 ** (radius + 1) - 1
+    assert min(m.bit_count() for m in masks) >= least
+    chosen = random.Random(radius)
+    for _ in range(500):
+        differ = sum(1 << i for i in chosen.sample(range(64), radius))
+        assert any(not differ & m for m in masks)
+
+
 def test_links_of_full_buckets(spark, monkeypatch):
     """Blocks of a crowded bucket are all compared: same groups as all pairs."""
     monkeypatch.setattr(simhash, "BLOCK", 8)
