@@ -23,7 +23,8 @@ TEXT_BYTES = 4 << 20
 ITEMS = 500_000
 #: A sequence is nearly full, and final, with at most this share of it free.
 NEARLY_FULL = 1 / 256
-#: Merging goes on while a round closes at least this share of the open sequences.
+#: Rounds of tasks side by side go on while one closes at least this share of the
+#: open sequences; then one task takes those that may still fit.
 LEAST_GAIN = 0.02
 
 
@@ -157,6 +158,26 @@ def _open_bins(placed: DataFrame, capacity: int) -> DataFrame:
     )
 
 
+def _shortest(left: DataFrame, capacity: int) -> DataFrame | None:
+    """The ITEMS shortest of the open sequences, or None if no two fit into one.
+
+    Only the number of sequences of each size reaches the driver.
+    """
+    counts = sorted(tuple(r) for r in left.groupBy("_size").count().collect())
+    two = [size for size, n in counts[:2] for _ in range(min(n, 2))][:2]
+    if len(two) < 2 or sum(two) > capacity:
+        return None
+    room = max(2, ITEMS)
+    for size, n in counts:
+        if n > room:
+            break
+        room -= n
+    else:
+        return left
+    some = left.where(F.col("_size") == size).limit(room)
+    return left.where(F.col("_size") < size).union(some)
+
+
 def pack(pieces: DataFrame, size: str, capacity: int) -> DataFrame:
     """Put each row, as an item of ``size``, into a sequence of ``capacity``.
 
@@ -164,8 +185,10 @@ def pack(pieces: DataFrame, size: str, capacity: int) -> DataFrame:
     offset (without gaps from 0). Hierarchical residual packing: every
     partition is packed best fit, largest first; nearly full sequences are
     final, and the underfull ones, as items, are packed again by fewer tasks,
-    round by round, until one task has seen all that is open or nothing more
-    fits. Only (bin, size) pairs of underfull sequences move between rounds.
+    round by round, until one task has seen all that is open. When rounds of
+    several tasks close little more, one task takes the ITEMS shortest open
+    sequences, again and again until the two shortest do not fit into one, and
+    so no two. Only (bin, size) pairs of underfull sequences move between rounds.
 
     Sizes are from 1 to ``capacity``. Rows of equal size keep their order;
     repeated rows are items of their own. An empty table gives an empty table.
@@ -180,19 +203,30 @@ def pack(pieces: DataFrame, size: str, capacity: int) -> DataFrame:
     moves: list[DataFrame] = []
     left = materialise(_open_bins(placed, capacity))
     count = left.count()
-    while count > 1:
-        tasks = math.ceil(count / ITEMS)
-        merged = (
-            left.repartition(tasks, F.xxhash64("_item", F.lit(len(moves))))
-            .sortWithinPartitions("_item")
-            .mapInArrow(_fit_partition(capacity, len(moves) + 1, "_size"), _with_bins(item))
+    tasks = math.ceil(count / ITEMS) if count > 1 else 0
+
+    def merge(dealt: DataFrame) -> DataFrame:
+        merged = materialise(
+            dealt.sortWithinPartitions("_item").mapInArrow(
+                _fit_partition(capacity, len(moves) + 1, "_size"), _with_bins(item)
+            )
         )
-        merged = materialise(merged)
         moves.append(merged)
-        left = materialise(_open_bins(merged, capacity))
+        return _open_bins(merged, capacity)
+
+    while tasks:
+        left = materialise(merge(left.repartition(tasks, F.xxhash64("_item", F.lit(len(moves))))))
         before, count = count, left.count()
         if tasks == 1 or count > before * (1 - LEAST_GAIN):
             break
+        tasks = math.ceil(count / ITEMS)
+    while tasks > 1:
+        shortest = _shortest(left, capacity)
+        if shortest is None:
+            break
+        shortest = materialise(shortest)
+        others = left.join(shortest.select("_item"), "_item", "left_anti")
+        left = materialise(others.unionByName(merge(shortest.repartition(1))))
     result = placed.withColumnsRenamed({"_bin": "_first", "_at": "_offset"}).drop("_free")
     if not moves:
         return result.withColumnsRenamed({"_first": "sequence_id", "_offset": "offset"})

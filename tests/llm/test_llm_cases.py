@@ -165,6 +165,22 @@ def test_pack_of_sizes_that_never_fit_together_ends(spark, monkeypatch):
     assert packed.select("sequence_id").distinct().count() == 60
 
 
+def test_pack_lets_the_last_two_that_fit_meet(spark, monkeypatch):
+    """Of 102 open sequences two fit into one, in whichever tasks they are."""
+    monkeypatch.setattr(packing, "ITEMS", 7)
+    for other in (30, 60, 101):
+        sizes = [35] * 102
+        sizes[0], sizes[other] = 20, 30
+        rows = spark.createDataFrame(
+            spark.sparkContext.parallelize(list(enumerate(sizes)), 20), "id long, size long"
+        )
+        found = packing.pack(rows, "size", 50).collect()
+        assert len(found) == 102
+        place = {r["id"]: (r["sequence_id"], r["offset"]) for r in found}
+        assert len({s for s, _ in place.values()}) == 101 and place[0][0] == place[other][0]
+        assert {place[0][1], place[other][1]} in ({0, 20}, {0, 30})
+
+
 def test_token_files(spark, odd, none, odd_rows):
     tokenizer = Tokenizer.from_file(WORDS)
     folder = scratch_dir(spark)
@@ -340,6 +356,13 @@ def test_chunks_do_not_depend_on_other_texts():
     assert together.digest.tolist() == alone
 
 
+def test_cuts_of_repeated_lines_do_not_depend_on_other_texts():
+    texts = [f"{prose(n % 7, n)} {f'{prose(1 + n % 9, n)} ' * (n % 40)}".encode() for n in range(300)]
+    together = substring_dedup.Chunks(texts)
+    alone = [d for t in texts for d in substring_dedup.Chunks([t]).digest.tolist()]
+    assert together.digest.tolist() == alone
+
+
 def test_quality_cases(spark, odd, none, odd_rows):
     labels = spark.createDataFrame([(3, 1, 0), (None, 1, 0), (4, None, 1)], "doc_id long, quality int, toxic int")
     assert quality.train(odd, labels) is None
