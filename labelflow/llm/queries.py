@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.llm import (
+    alignment,
+    conversations,
     mixing,
     packing,
     quality,
@@ -16,13 +18,18 @@ from labelflow.llm import (
     topk,
     url_filters,
     warc,
+    window_packing,
 )
 from labelflow.llm.common import table, text_or_empty
 from labelflow.storage import materialise, scratch_dir
 
 #: Tokenizer files, found when a query runs.
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 CAPACITY, PACK_END, FILE_END = 4096, 1, 2
+WINDOW = 2048
+#: Each turn of a conversation has one of so many fates.
+FATES = 20
 TOKEN_LIMIT = 1024
 NEIGHBOURS, QUERY_EVERY, SCALE = 10, 100, 1024
 LEAST_REVISIT_BYTES = 0
@@ -139,11 +146,52 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_window_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = window_packing.pack_windows(
+        table(spark, sf_dir, "documents"), "doc_id", "text",
+        tokenizer_path(BYTE_BPE), PACK_END, WINDOW,
+    )
+    return packed.withColumnRenamed("key", "doc_id")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conversations`` with a fault in some turns: lost (column gone), emptied,
+    without ends of sentences, repeated, or with another role."""
+    name = F.concat_ws(
+        ":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    )
+    fate = F.crc32(name) % FATES
+    text = F.coalesce("text", F.lit(" "))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(fate == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(fate == 1, "").when(fate == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (fate == 0).alias("gone"),
+        F.explode(F.array_repeat(F.lit(0), F.when(fate == 3, 2).otherwise(1))).alias("copy"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    blocks = conversations.repair(rows, "conv_id", "turn", "role", "text", F.col("gone"))
+    return conversations.reports(blocks).withColumnRenamed("key", "conv_id")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(
+        table(spark, sf_dir, "documents"), "doc_id", "text",
+        tokenizer_path(BYTE_BPE), tokenizer_path(PIECE_BPE),
+    )
+    return aligned.withColumnRenamed("key", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_url_filters, op2_quality_rules, op3_substring_dedup, op4_best_fit_packing, op5_warc,
         op6_simhash_near_dedup, op7_token_counts, op8_exact_top_k, op9_token_files, op10_mixing,
+        op11_window_packing, op12_conversation_repair, op13_tokenizer_alignment,
     )
 }
 
