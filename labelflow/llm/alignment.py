@@ -47,7 +47,7 @@ class Aligner:
 
     def tokens(self, texts: pa.Array):
         """Ids and bounds of both, and which blocks both give back byte by byte."""
-        pieces, coded, firsts = split(texts, self.safe, line_ends=False)
+        pieces, coded, firsts = split(texts, self.safe, patterned=False)
         ids_a, bounds_a = self.a.encode(pieces, coded, firsts)
         ids_b, bounds_b = self.b.encode(pieces, coded, firsts)
         right = np.ones(len(texts), bool)
@@ -135,7 +135,7 @@ def aligned_texts(texts: DataFrame, path_a: str, path_b: str) -> DataFrame:
             texts = pc.binary_join_element_wise(pa.scalar(" "), batch.column("text"), "")
             n = len(texts)
             if aligner.safe:
-                some, owner = blocks(texts, TEXT_BYTES, line_ends=False)
+                some, owner = blocks(texts, TEXT_BYTES, patterned=False)
             else:
                 some, owner = texts, np.arange(n)
             sums = np.zeros((4, n), np.int64)

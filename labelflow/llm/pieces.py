@@ -25,7 +25,7 @@ UNSURE = (0xC2, 0xE1, 0xE2, 0xE3, 0xEF)
 def _safe_json(path: str) -> bool:
     """True if the file's pattern never joins a character with white space after
     it: the byte-level one, with no step before it and no token that holds, or
-    takes in, white space."""
+    takes in, white space, a full stop or a comma."""
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
     pattern = spec.get("pre_tokenizer") or {}
@@ -36,7 +36,7 @@ def _safe_json(path: str) -> bool:
         and pattern.get("use_regex", True)
         and not pattern.get("add_prefix_space", True)
         and not any(
-            t.get("lstrip") or t.get("rstrip") or any(c.isspace() for c in t["content"])
+            t.get("lstrip") or t.get("rstrip") or any(c.isspace() or c in ".," for c in t["content"])
             for t in spec.get("added_tokens", [])
         )
     )
@@ -185,11 +185,12 @@ class Encoder:
         return self.ids[place], ends[firsts]
 
 
-def cuts(data: np.ndarray, line_ends: bool) -> np.ndarray:
-    """Places of a space (or line end) behind a character that surely is no white
-    space to any library."""
+def cuts(data: np.ndarray, patterned: bool) -> np.ndarray:
+    """Places of a space behind a character that surely is no white space to any
+    library; for patterned (byte-level) files also of a line end there, and of a
+    full stop or comma behind a plain letter."""
     gap = data == 32
-    if line_ends:
+    if patterned:
         gap |= data == 10
     places = np.flatnonzero(gap)
     places = places[places > 0]
@@ -200,11 +201,17 @@ def cuts(data: np.ndarray, line_ends: bool) -> np.ndarray:
     for back in (2, 3, 4):
         lead = np.where((lead & 0xC0) == 0x80, data[np.maximum(places - back, 0)], lead)
     wide = (lead >= 0xC0) & ~np.isin(lead, UNSURE)
-    return places[ascii_ | wide]
+    found = places[ascii_ | wide]
+    if not patterned:
+        return found
+    marks = np.flatnonzero((data == 44) | (data == 46))
+    marks = marks[marks > 0]
+    letter = data[marks - 1] | 32
+    return np.concatenate([found, marks[(letter >= 97) & (letter <= 122)]])
 
 
 def split(
-    texts: pa.Array, safe: bool = True, line_ends: bool = True
+    texts: pa.Array, safe: bool = True, patterned: bool = True
 ) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pieces, the codes of all pieces in order, and each text's first
     piece (one place more than texts). No null texts; an empty text has no piece."""
@@ -220,7 +227,7 @@ def split(
     starts = begins
     if safe:
         at = np.zeros(len(data), bool)
-        at[cuts(data, line_ends)] = True
+        at[cuts(data, patterned)] = True
         at[bounds[1:] - 1] = False  # to sentencepiece, a last space alone is no text
         at[begins] = True
         starts = np.flatnonzero(at)
@@ -232,7 +239,7 @@ def split(
     return coded.dictionary.to_pylist(), np.asarray(coded.indices), np.searchsorted(starts, bounds)
 
 
-def blocks(texts: pa.Array, limit: int, line_ends: bool = True) -> tuple[pa.Array, np.ndarray]:
+def blocks(texts: pa.Array, limit: int, patterned: bool = True) -> tuple[pa.Array, np.ndarray]:
     """``texts`` with those of over ``limit`` bytes cut at safe places into blocks
     of about that size, and the text that each block belongs to. A stretch
     without a safe place stays whole. No null texts."""
@@ -249,14 +256,14 @@ def blocks(texts: pa.Array, limit: int, line_ends: bool = True) -> tuple[pa.Arra
             width, found = limit, np.zeros(0, np.int64)
             while not len(found) and at + width < size:
                 stretch = min(width, size - at)
-                found = cuts(np.frombuffer(raw, np.uint8, stretch, at), line_ends)
+                found = cuts(np.frombuffer(raw, np.uint8, stretch, at), patterned)
                 found = found[found < size - at - 1]
                 width *= 2
             if not len(found):
                 break
-            out.append(raw[at : at + int(found[-1])])
+            out.append(raw[at : at + int(found.max())])
             owner.append(i)
-            at += int(found[-1])
+            at += int(found.max())
         out.append(raw[at:])
         owner.append(i)
     return pa.array(out, pa.binary()).cast(pa.string()), np.array(owner, np.int64)

@@ -210,15 +210,16 @@ def encoded_pieces(
 ) -> DataFrame:
     """Ids of each whole text and ``end_id``, cut into full windows and a rest.
 
-    Returns key, start, doc_tokens, ids, part and nth: the task that made the
-    piece, and how many pieces of the same length the task made before.
+    Returns key, start, doc_tokens, ids (as little-endian bytes, two or four
+    each), part and nth: the task that made the piece, and how many pieces of the
+    same length the task made before.
     """
     schema = T.StructType(
         [
             T.StructField("key", df.schema[key].dataType),
             T.StructField("start", T.LongType()),
             T.StructField("doc_tokens", T.LongType()),
-            T.StructField("ids", T.ArrayType(T.IntegerType(), False)),
+            T.StructField("ids", T.BinaryType()),
             T.StructField("length", T.LongType()),
             T.StructField("part", T.LongType()),
             T.StructField("nth", T.LongType()),
@@ -255,26 +256,25 @@ def encoded_pieces(
             nth[order] = np.arange(len(row)) - np.repeat(np.cumsum(new) - new, new)
             nth += seen[length]
             seen += new
+            raw = memoryview(ids.astype("<u2" if ids.max() < 1 << 16 else "<u4")).cast("B")
+            wide = len(raw) // len(ids)
+            places = np.concatenate([bounds[row] + start, bounds[-1:]]) * wide
+            found = pa.RecordBatch.from_arrays(
+                [
+                    batch.column("key").take(pa.array(row)),
+                    pa.array(start),
+                    pa.array(lengths[row]),
+                    pa.Array.from_buffers(
+                        pa.large_binary(), len(row), [None, pa.py_buffer(places), pa.py_buffer(raw)]
+                    ).cast(pa.binary()),
+                    pa.array(length),
+                    pa.array(np.full(len(row), part)),
+                    pa.array(nth),
+                ],
+                names=schema.names,
+            )
             # A few megabytes of ids at a time go back to Spark.
-            places = np.concatenate([bounds[row] + start, bounds[-1:]])
-            for at in range(0, len(row), 1000):
-                cut = slice(at, min(at + 1000, len(row)))
-                low, high = places[cut.start], places[cut.stop]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("key").take(pa.array(row[cut])),
-                        pa.array(start[cut]),
-                        pa.array(lengths[row[cut]]),
-                        pa.ListArray.from_arrays(
-                            (places[cut.start : cut.stop + 1] - low).astype(np.int32),
-                            ids[low:high].astype(np.int32),
-                        ),
-                        pa.array(length[cut]),
-                        pa.array(np.full(cut.stop - cut.start, part)),
-                        pa.array(nth[cut]),
-                    ],
-                    names=schema.names,
-                )
+            yield from pa.Table.from_batches([found]).to_batches(max_chunksize=1000)
 
     return text_batches(df).select(
         F.col(key).alias("key"), text_or_empty(text).alias("text")
@@ -289,10 +289,11 @@ def _placed(capacity: int, chosen: Plan, with_ids: bool):
             sizes = batch.column("length").to_numpy()
             ranks = batch.column("rank").to_numpy()
             item, begin, length, window, offset = place(chosen, sizes, ranks)
-            lists = batch.column("ids")
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4")
-            bounds = np.asarray(lists.offsets)[: len(lists)] - lists.offsets[0].as_py()
-            low = bounds[item] + begin
+            held = batch.column("ids").to_pylist()
+            ids = np.concatenate(
+                [np.frombuffer(h, f"<u{len(h) // n}").astype("<u4") for h, n in zip(held, sizes)]
+            )
+            low = (np.cumsum(sizes) - sizes)[item] + begin
             raw = ids.tobytes()
             crcs = [zlib.crc32(raw[4 * b : 4 * e]) for b, e in zip(low, low + length)]
             columns = {
@@ -363,7 +364,7 @@ def pack_windows(
                 T.StructField(n, T.LongType())
                 for n in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
             ],
-            *([stored.schema["ids"]] if with_ids else []),
+            *([T.StructField("ids", T.ArrayType(T.IntegerType()))] if with_ids else []),
         ]
     )
     return ranked.mapInArrow(_placed(capacity, chosen, with_ids), schema)

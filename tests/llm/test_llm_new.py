@@ -148,13 +148,13 @@ def test_pieces_equal_the_library(limit):
     json_file = pieces.Encoder(tokenizer_path("byte_bpe_50k.json"))
     model_file = pieces.Encoder(tokenizer_path("piece_bpe_32k.model"), drop=1)
     assert json_file.safe and model_file.safe
-    for encoder, given, want, line_ends in (
+    for encoder, given, want, patterned in (
         (json_file, texts, [library.encode(t, add_special_tokens=False).ids for t in texts], True),
         (model_file, spaced, [model.encode(t) for t in texts], False),
     ):
-        some, owner = pieces.blocks(pa.array(given), limit, line_ends)
+        some, owner = pieces.blocks(pa.array(given), limit, patterned)
         assert (len(some) > len(given)) == (limit == 64)
-        ids, bounds = encoder.encode(*pieces.split(some, True, line_ends))
+        ids, bounds = encoder.encode(*pieces.split(some, True, patterned))
         got = [[] for _ in given]
         for i, b, e in zip(owner, bounds, bounds[1:]):
             got[i] += ids[b:e].tolist()
