@@ -85,17 +85,17 @@ class Texts(TextBytes):
 
     def features(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """(feature, text) of every n-gram, by family: words, pairs of words,
-        and four bytes in a row."""
+        and four characters in a row."""
         last = np.uint64(FEATURES - 1)
         pair = np.flatnonzero(self.owner[:-1] == self.owner[1:])
         two = mix(self.words[pair] * np.uint64(7) + self.words[pair + 1])
-        at = np.arange(max(0, len(self.data) - 4))
-        owner = np.searchsorted(self.end, at)
-        inside = at + 4 <= self.end[owner] if len(at) else np.zeros(0, bool)
-        at, owner = at[inside], owner[inside]
-        quad = np.zeros(len(at), np.uint64)
-        for k in range(4):
-            quad |= self.data[at + k].astype(np.uint64) << np.uint64(8 * k)
+        # Where characters begin; between two texts stands a line end of its own.
+        first = np.flatnonzero((self.data & 0xC0) != 0x80)
+        owner = np.searchsorted(self.end, first)
+        at = np.arange(max(0, len(first) - 4))
+        at = at[(owner[at] == owner[at + 3]) & (first[at + 3] < self.end[owner[at]])]
+        quad = self.hashes(first[at], first[at + 4])
+        owner = owner[at]
         return [
             ((self.words & last).astype(np.int64), self.owner),
             ((two & last).astype(np.int64), self.owner[pair]),
@@ -270,13 +270,10 @@ def judge(docs: DataFrame, keys: list[str], text: str, model: Model | None) -> D
             T.StructField("kept", T.BooleanType()),
         ]
     )
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # FEATURES floats
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
         for batch in by_bytes(batches, "_text", TEXT_BYTES):
             texts = Texts(batch.column("_text").cast(pa.binary()).to_pylist())
-            counts, failed, chance, keep = _verdicts(texts, fitted)
+            counts, failed, chance, keep = _verdicts(texts, model)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[batch.column(n) for n in names],
@@ -299,14 +296,12 @@ def keep_good(docs: DataFrame, model: Model | None) -> DataFrame:
 
     Rows go through the task that judges them, so nothing is shuffled.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = shared.value
         for batch in by_bytes(batches, "text", TEXT_BYTES):
             column = pa.compute.fill_null(batch.column(text_at).cast(pa.string()), "")
             texts = Texts(column.cast(pa.binary()).to_pylist())
-            yield batch.filter(pa.array(_verdicts(texts, fitted)[3]))
+            yield batch.filter(pa.array(_verdicts(texts, model)[3]))
 
     return text_batches(docs).mapInArrow(run, docs.schema)

@@ -205,7 +205,7 @@ def _url_sql() -> str:
     )
     actions = "\n".join(f"WHEN rule = '{h}{p}' THEN '{a}'" for h, p, a in HOST_RULES)
     patterns = "\n".join(
-        f"WHEN regexp_matches(whole, '^(?s:{r.regex})') THEN '{r.name}'"
+        f"WHEN regexp_matches(whole, '^(?s:{r.regex})') THEN '{r.name}'".replace(r"\Z", r"\z")
         for r in sorted((url_filters.Rule.of_pattern(*p) for p in PATTERNS), key=lambda r: r.rank)[::-1]
     )
     by_pattern = "\n".join(f"WHEN pattern = '{p}' THEN '{a}'" for p, a in PATTERNS)

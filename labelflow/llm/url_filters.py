@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rules are an argument on the driver and go to every task; a list of more
-#: bytes than this is refused.
+#: Rules are an argument on the driver; so many bytes of them go to a task at
+#: once, and more in further passes over the URLs.
 RULE_BYTES = 64 << 20
 
 _TOKEN = re.compile(r"[a-z0-9]+")
@@ -55,10 +55,10 @@ class Rule:
         body, host, end = pattern, pattern.startswith("||"), pattern.endswith("|")
         body = body[2 * host : len(body) - end]
         parts = [
-            r"(?:[^A-Za-z0-9_.%-]|$)" if x == "^" else ".*" if x == "*" else re.escape(x)
+            r"(?:[^A-Za-z0-9_.%-]|\Z)" if x == "^" else ".*" if x == "*" else re.escape(x)
             for x in re.split(r"([*^])", body)
         ]
-        regex = (r"[^/?#]*\." if host else ".*") + "".join(parts) + ("$" if end else "")
+        regex = (r"[^/?#]*\." if host else ".*") + "".join(parts) + (r"\Z" if end else "")
         pieces = re.split(r"\*", body)
         tokens = [
             t
@@ -116,14 +116,12 @@ class RuleIndex:
 
 def token_frequency(df: DataFrame, url: str, tokens: set[str]) -> dict[str, int]:
     """In how many URLs each of ``tokens`` (those of the rules) occurs."""
-    shared = df.sparkSession.sparkContext.broadcast(tokens)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[str] = Counter()
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 host, _, tail = split_url(value)
-                counts.update(_tokens(host, tail) & shared.value)
+                counts.update(_tokens(host, tail) & tokens)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
             names=["token", "n"],
@@ -133,6 +131,20 @@ def token_frequency(df: DataFrame, url: str, tokens: set[str]) -> dict[str, int]
     return {r["token"]: r["n"] for r in counted.groupBy("token").agg(F.sum("n").alias("n")).collect()}
 
 
+def _groups(rules: list[Rule]) -> list[list[Rule]]:
+    """The rules in groups of at most RULE_BYTES (or one rule)."""
+    groups: list[list[Rule]] = [[]]
+    size = 0
+    for rule in rules:
+        more = len(rule.name) + len(rule.regex)
+        if groups[-1] and size + more > RULE_BYTES:
+            groups.append([])
+            size = 0
+        groups[-1].append(rule)
+        size += more
+    return groups
+
+
 def judge_urls(
     df: DataFrame, keys: list[str], url: str, rules: list[Rule], otherwise: str = "allow"
 ) -> DataFrame:
@@ -141,49 +153,65 @@ def judge_urls(
     One pass counts the rules' tokens in the URLs; every rule is then kept
     under its rarest. In the second pass a URL's tokens fetch the rules to try,
     and only those run their regular expression. Both are map-only but for the
-    counts of the rules' tokens. Rules may be many, up to RULE_BYTES in all.
+    counts of the rules' tokens. More than RULE_BYTES of rules take a pass for
+    each so many, each of which keeps the better of its rule and the one before.
 
     A null URL, or one without ``://``, has an empty host and path and fits no
     rule: ``otherwise``. Null keys, repeated rows and empty tables need no
-    care; other columns are not read.
+    care; other columns, whatever their names, are not read.
     """
-    size = sum(len(r.name) + len(r.regex) for r in rules)
-    if size > RULE_BYTES:
-        raise ValueError(f"{size} bytes of rules; at most {RULE_BYTES} go to every task")
-    frequency = token_frequency(df, url, {t for r in rules for t in r.tokens})
-    shared = df.sparkSession.sparkContext.broadcast((rules, frequency))
     names = [f"_k{i}" for i in range(len(keys))]
     schema = T.StructType(
         [
             *[T.StructField(n, df.schema[k].dataType) for n, k in zip(names, keys)],
-            *[T.StructField(n, T.StringType()) for n in ("host", "path", "rule", "pattern", "verdict")],
+            T.StructField("_url", T.StringType()),
+            *[T.StructField(n, T.StringType()) for n in ("host", "path", "best", "action")],
+            T.StructField("kind", T.IntegerType()),
         ]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = RuleIndex(*shared.value)
-        for batch in batches:
-            rows = []
-            for value in batch.column("_url").to_pylist():
-                host, path, tail = split_url(value)
-                best = index.best(host, tail) if host or tail else None
-                of_host = best is not None and best.rank[0] == 1
-                rows.append(
-                    (
-                        host,
-                        path,
-                        best.name if of_host else None,
-                        best.name if best is not None and not of_host else None,
-                        best.action if best is not None else otherwise,
-                    )
+    def judged_by(group: list[Rule], frequency: dict[str, int]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            index = RuleIndex(group, frequency)
+            for batch in batches:
+                urls = batch.column("_url").to_pylist()
+                before = zip(*(batch.column(n).to_pylist() for n in ("best", "action", "kind")))
+                rows = []
+                for value, (name, action, kind) in zip(urls, before):
+                    host, path, tail = split_url(value)
+                    best = index.best(host, tail) if host or tail else None
+                    # Of the rules of different groups, as of one, the larger rank.
+                    if best is not None and (
+                        kind is None or best.rank > (kind, len(name), action == "block", name)
+                    ):
+                        name, action, kind = best.name, best.action, best.rank[0]
+                    rows.append((host, path, name, action, kind))
+                columns = zip(*rows) if rows else [()] * 5
+                kinds = [pa.string()] * 4 + [pa.int32()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(n) for n in [*names, "_url"]],
+                        *[pa.array(c, t) for c, t in zip(columns, kinds)],
+                    ],
+                    names=schema.names,
                 )
-            columns = zip(*rows) if rows else [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(n) for n in names], *[pa.array(c, pa.string()) for c in columns]],
-                names=schema.names,
-            )
+
+        return run
 
     judged = df.select(
-        *[F.col(k).alias(n) for n, k in zip(names, keys)], F.col(url).cast("string").alias("_url")
-    ).mapInArrow(run, schema)
-    return judged.withColumnsRenamed(dict(zip(names, keys)))
+        *[F.col(k).alias(n) for n, k in zip(names, keys)],
+        F.col(url).cast("string").alias("_url"),
+        *[F.lit(None).cast("string").alias(n) for n in ("host", "path", "best", "action")],
+        F.lit(None).cast("int").alias("kind"),
+    )
+    for group in _groups(rules):
+        frequency = token_frequency(df, url, {t for r in group for t in r.tokens})
+        judged = judged.mapInArrow(judged_by(group, frequency), schema)
+    return judged.select(
+        *[F.col(n).alias(k) for n, k in zip(names, keys)],
+        "host",
+        "path",
+        F.when(F.col("kind") == 1, F.col("best")).alias("rule"),
+        F.when(F.col("kind") == 0, F.col("best")).alias("pattern"),
+        F.coalesce("action", F.lit(otherwise)).alias("verdict"),
+    )
