@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelflow.bindings import derived as d
-from labelflow.operators.positions import with_positions
 from labelflow.sources import items as I
 from labelflow.sources import sinks as K
 from labelflow.sources import vocabulary as V
@@ -47,20 +46,20 @@ def src_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON array in one file, which is what the array form means."""
-    rows, path = _documents(spark, sf_dir), f"{scratch_dir(spark)}.json"
-    placed = with_positions(rows.withColumn("key", F.col("doc_id").cast("long")), ["key"])
-    last = placed.agg(F.max("pos")).scalar()
-    line = F.concat(
-        F.when(F.col("pos") == 0, "[").otherwise(","),
-        F.to_json(F.struct("doc_id", "title", "text")),
-        F.when(F.col("pos") == last, "]").otherwise(""),
-    )
-    lines = placed.select("pos", line.alias("value")).repartition(1).sortWithinPartitions("pos")
-    lines.select("value").write.text(path)
+    """JSON arrays, one for each range of documents; tasks share each file."""
+    path = f"{scratch_dir(spark)}.json"
+    K.write_json_arrays(_documents(spark, sf_dir), path, [F.col("doc_id").cast("long")])
     return _items(I.read_items(spark, path, CONFIG))
 
 
+def src_json_array_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequential ids over the elements of several arrays, in file order."""
+    path = f"{scratch_dir(spark)}.json"
+    K.write_json_arrays(_documents(spark, sf_dir), path, [F.col("doc_id").cast("long")])
+    config = I.DatasetConfig(("title",), {"doc_id": "name"})
+    return _items(I.read_items(spark, path, config)).select("id", F.col("title").alias("doc_id"))
+
+
 def src_csv_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sequential ids over several files, in the order of files and rows."""
     path = f"{scratch_dir(spark)}.csv"
@@ -164,6 +163,7 @@ QUERIES = {
     "src_csv": src_csv,
     "src_json": src_json,
     "src_json_array": src_json_array,
+    "src_json_array_ids": src_json_array_ids,
     "src_csv_ids": src_csv_ids,
     "load_topics": load_topics,
     "load_synonyms": load_synonyms,
@@ -197,6 +197,8 @@ ORACLE = {
     "src_csv": _source_sql("NULL"),
     "src_json": _source_sql("'N/A'"),
     "src_json_array": _source_sql("'N/A'"),
+    "src_json_array_ids": """SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS id,
+  CAST(doc_id AS VARCHAR) AS doc_id FROM documents""",
     "src_csv_ids": """SELECT CAST(row_number() OVER (ORDER BY doc_id) - 1 AS VARCHAR) AS id,
   CAST(doc_id AS VARCHAR) AS doc_id FROM documents""",
     "load_topics": f"""WITH {d.TOPICS_SQL}

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelflow.operators.positions import free_name
 from labelflow.storage import materialise
 
 
@@ -41,10 +42,11 @@ def one_per_id(rows: DataFrame, order: Column, newest: bool) -> DataFrame:
     Only (id, order, row number) is aggregated, with a partial step per task;
     the other columns are fetched by the number of the row that was chosen.
     """
-    stored = materialise(rows.withColumn("_row", F.monotonically_increasing_id()))
+    row = free_name(rows, "_row")
+    stored = materialise(rows.withColumn(row, F.monotonically_increasing_id()))
     pick = F.max_by if newest else F.min_by
-    chosen = materialise(stored.groupBy("id").agg(pick("_row", order).alias("_row")).select("_row"))
-    return stored.join(chosen, "_row", "left_semi").drop("_row")
+    chosen = materialise(stored.groupBy("id").agg(pick(row, order).alias(row)).select(row))
+    return stored.join(chosen, row, "left_semi").drop(row)
 
 
 def latest_results(*runs: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.functions.text import strip
-from labelflow.operators.positions import PLACE, in_file_order, with_place, with_positions
+from labelflow.operators.positions import free_name, numbered_files, quoted, with_positions
+from labelflow.sources import ranges
 
 NO_DESCRIPTION = "No Description"
 
@@ -33,7 +34,7 @@ class DatasetConfig:
     id_column: str | None = None
     separator: str = " "
     required: Sequence[str] = ()
-    #: CSV files whose fields hold line breaks cannot be split among tasks.
+    #: Fields of CSV files may hold line breaks; False saves a scan for quotes.
     multi_line: bool = True
 
     @classmethod
@@ -82,88 +83,107 @@ def extract_metadata(df: DataFrame, mapping: Mapping[str, str]) -> Column:
 
 
 def assign_ids(
-    df: DataFrame, id_column: str | None, order: Sequence[str | Column] | None = None
+    df: DataFrame,
+    id_column: str | None,
+    order: Sequence[str | Column] | None = None,
+    number: str | None = None,
+    name: str = "item_id",
 ) -> DataFrame:
-    """Add ``item_id``: the column as text (null is empty), else 0..n-1.
+    """Add ``name``: the column as text (null is empty), else 0..n-1.
 
-    Without an id column rows are numbered by ``order``, a unique key, or by
-    their place in the files they were read from (``with_place``).
+    Without an id column rows are numbered by ``order``, a unique key, or have
+    their number in the column ``number`` (see ``read_table``), which goes.
     """
     if id_column and id_column in df.columns:
         value = F.coalesce(F.col(id_column).cast("string"), F.lit(""))
-        return df.withColumn("item_id", value)
+        return df.withColumn(name, value)
     if order is not None:
-        numbered = with_positions(df, list(order), "item_id")
-    elif set(PLACE) <= set(df.columns):
-        numbered = in_file_order(df, "item_id")
-    else:
+        number = name
+        df = with_positions(df, list(order), name)
+    elif number is None:
         raise ValueError("rows without an id column need an order")
-    return numbered.withColumn("item_id", F.col("item_id").cast("string"))
+    keep = quoted([c for c in df.columns if c != number])
+    return df.select(*keep, F.col(number).cast("string").alias(name))
 
 
 def to_items(
-    df: DataFrame, config: DatasetConfig, order: Sequence[str | Column] | None = None
+    df: DataFrame,
+    config: DatasetConfig,
+    order: Sequence[str | Column] | None = None,
+    number: str | None = None,
 ) -> DataFrame:
     """Project to items. Columns that ``config.required`` names must exist."""
     require_columns(df, config.required)
-    df = assign_ids(df, config.id_column, order)
+    name = free_name(df, "item_id")
+    df = assign_ids(df, config.id_column, order, number, name)
     return df.select(
-        F.col("item_id").alias("id"),
+        F.col(name).alias("id"),
         combine_text(df, config.text_columns, config.separator).alias("text"),
         extract_metadata(df, config.metadata_mapping).alias("metadata"),
     )
 
 
 def read_csv(
-    spark: SparkSession, path: str, multi_line: bool = True, place: bool = False
+    spark: SparkSession, path: str, multi_line: bool = True, number: bool = False
 ) -> DataFrame:
-    """All columns as strings. ``multi_line=False`` lets big files be split.
-    ``place`` adds where each row stood in the files."""
-    df = (
+    """All columns as strings. Big files are split among tasks, also inside of
+    fields with line breaks, unless ``multi_line=False`` says there are none.
+    ``number`` adds a last column, 0..n-1 in the order of files and rows."""
+    reader = (
         spark.read.option("header", True)
-        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
     )
-    values = [
-        F.when(~F.col(f"`{c}`").isin(MISSING_WORDS), F.col(f"`{c}`")).alias(c)
-        for c in df.columns
+    if multi_line:
+        names = reader.option("multiLine", True).csv(path).columns
+        df = ranges.read_csv(spark, path, names, number)
+    else:
+        df = reader.csv(path)
+        df = numbered_files(df, free_name(df, "_number")) if number else df
+        names = df.columns[:-1] if number else df.columns
+    known = [
+        F.when(~c.isin(MISSING_WORDS), c).alias(n) for c, n in zip(quoted(names), names)
     ]
-    return with_place(df).select(*values, *PLACE) if place else df.select(*values)
+    return df.select(*known, *quoted(df.columns[len(names) :]))
 
 
 def read_json(
-    spark: SparkSession, path: str, columns: Sequence[str], lines: bool
+    spark: SparkSession, path: str, columns: Sequence[str], lines: bool, number: bool = False
 ) -> DataFrame:
-    """Named fields as strings from a JSON array file or from JSON lines."""
+    """Named fields as strings from JSON array files or from JSON lines; both are
+    split among tasks. ``number`` adds a last column, 0..n-1 in file order."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).option("multiLine", not lines).json(path)
+    if not lines:
+        return ranges.read_json_array(spark, path, schema, number)
+    df = spark.read.schema(schema).json(path)
+    return numbered_files(df, free_name(df, "_number")) if number else df
 
 
 def read_table(
-    spark: SparkSession, path: str, config: DatasetConfig, place: bool = False
+    spark: SparkSession, path: str, config: DatasetConfig, number: bool = False
 ) -> DataFrame:
-    """Read by file extension: csv, json (array), jsonl or parquet."""
+    """Read by file extension: csv, json (array), jsonl or parquet. ``number``
+    adds a last column, 0..n-1 in the order of files and rows."""
     name = path.rstrip("/").lower()
     used = [*config.text_columns, *config.metadata_mapping]
     if config.id_column:
         used.append(config.id_column)
     columns = list(dict.fromkeys(used))
     if name.endswith(".csv"):
-        return read_csv(spark, path, config.multi_line, place)
+        return read_csv(spark, path, config.multi_line, number)
     if name.endswith((".json", ".jsonl")):
-        df = read_json(spark, path, columns, lines=name.endswith(".jsonl"))
-        return with_place(df) if place else df
+        return read_json(spark, path, columns, name.endswith(".jsonl"), number)
     if name.endswith(".parquet"):
         df = spark.read.parquet(path)
-        return with_place(df) if place else df
+        return numbered_files(df, free_name(df, "_number")) if number else df
     raise ValueError(f"cannot read {path}: use csv, json, jsonl or parquet")
 
 
 def read_items(spark: SparkSession, path: str, config: DatasetConfig) -> DataFrame:
-    return to_items(read_table(spark, path, config, place=not config.id_column), config)
+    number = not config.id_column
+    df = read_table(spark, path, config, number)
+    return to_items(df, config, number=df.columns[-1] if number else None)
 
 
 def source_check(df: DataFrame, name: str, id_column: str) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,6 +14,34 @@ def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     df.write.mode(mode).option("ignoreNullFields", False).json(path)
 
 
+def write_json_arrays(df: DataFrame, path: str, order: list[str | Column]) -> None:
+    """A folder of JSON arrays in the given order, each file one valid array.
+
+    One file for each range partition: its first row opens the array, its last
+    one closes it. Readers that take one array per file read the folder whole.
+    """
+
+    def bracketed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, opening = None, "["
+        for batch in batches:
+            lines = []
+            for value in batch.column(0).to_pylist():
+                if last is not None:
+                    lines.append(opening + last)
+                    opening = ","
+                last = value
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+        if last is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([f"{opening}{last}]"])], names=["value"])
+
+    lines = (
+        df.repartitionByRange(*[F.col(o) if isinstance(o, str) else o for o in order])
+        .sortWithinPartitions(*order)
+        .select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
+    )
+    lines.mapInArrow(bracketed, "value string").write.text(path)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """CSV with a header; arrays, maps and structs become JSON text."""
     nested = ("array", "map", "struct")

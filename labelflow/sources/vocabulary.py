@@ -54,8 +54,8 @@ def synonym_table(classes: DataFrame, order: str | Column) -> DataFrame:
 
 def read_synonyms(spark: SparkSession, path: str) -> DataFrame:
     """``synonym_table`` in the order of the files and of their rows."""
-    classes = read_csv(spark, path, place=True)
-    return synonym_table(classes, F.struct(*PLACE))
+    classes = read_csv(spark, path, number=True)
+    return synonym_table(classes, classes.columns[-1])
 
 
 def read_id_list(spark: SparkSession, path: str) -> DataFrame:
