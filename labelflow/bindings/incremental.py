@@ -16,6 +16,7 @@ from labelflow.operators import results as R
 from labelflow.operators.infer import infer
 from labelflow.operators.matching import Vocabulary
 from labelflow.plans import label as L
+from labelflow.sources.table import ResultTable
 from labelflow.storage import scratch_dir
 from labelflow.streaming import incremental as S
 
@@ -147,10 +148,47 @@ def resume_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     every third part of the first half once more."""
     work = scratch_dir(spark)
     parts, key = d.table(spark, sf_dir, "part"), F.col("p_partkey")
+    schema = RESULT_SCHEMA.removesuffix(", epoch long")
+    table = ResultTable.create(spark, f"{work}/out", schema, buckets=16)
+    run = _labeller(prompt_topics(spark, sf_dir), d.vocabulary(spark, sf_dir))
     for arrived in (key % 2 == 0, (key % 2 == 1) | (key % 3 == 0)):
-        parts.where(arrived).coalesce(1).write.mode("append").parquet(f"{work}/in")
-        out = _stream(spark, sf_dir, f"{work}/in", "*.parquet", work)
-    return _shown(S.latest_per_id(out))
+        parts.where(arrived).write.mode("append").parquet(f"{work}/in")
+        source = S.read_stream(spark, f"{work}/in", parts.schema)
+        S.upsert_once(source, lambda b: run(_to_items(b)), table, f"{work}/state", "label")
+    return _shown(table.read())
+
+
+def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs put their results into one table, the first one twice."""
+    old, new = _runs(spark, sf_dir)
+    schema = "id long, processed_at timestamp_ntz, categories array<string>"
+    table = ResultTable.create(spark, scratch_dir(spark), schema, buckets=16)
+    for number, run in ((0, old), (1, new), (0, old)):
+        table.upsert(run, F.col("processed_at"), batch=("runs", number))
+    table.compact()
+    table.vacuum()
+    return table.read().select("id", F.array_join("categories", "~").alias("categories"))
+
+
+def table_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each commit wrote: two appends, one of them replayed, and a merge."""
+    old, new = _runs(spark, sf_dir)
+    schema = "id long, processed_at timestamp_ntz, categories array<string>"
+    table = ResultTable.create(spark, scratch_dir(spark), schema, buckets=1)
+    for number, run in ((0, old), (0, old), (1, new)):
+        table.append(run, batch=("runs", number))
+    table.compact()
+    return table.history()
+
+
+def table_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table as it was before the second run."""
+    old, new = _runs(spark, sf_dir)
+    schema = "id long, processed_at timestamp_ntz, categories array<string>"
+    table = ResultTable.create(spark, scratch_dir(spark), schema, buckets=16)
+    first = table.upsert(old)
+    table.upsert(new)
+    return table.read(first).select("id", F.array_join("categories", "~").alias("categories"))
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -272,6 +310,9 @@ QUERIES = {
     "resume_run": resume_run,
     "filtered_items": filtered_items,
     "pending_items": pending_items,
+    "table_upsert": table_upsert,
+    "table_history": table_history,
+    "table_as_of": table_as_of,
     "recover_results": recover_results,
     "results_with_source": results_with_source,
     "stream_dedup": stream_dedup,
@@ -298,6 +339,10 @@ _LABELLED = N.normalize_sql(
 _WINDOW_COLUMNS = """count(*) AS n_samples, round(max(value), 6) AS peak_cpu,
   round(avg(value), 6) AS avg_cpu, round(max(value * 4), 6) AS peak_memory,
   round(avg(value * 4), 6) AS avg_memory"""
+_RECOVERED = """SELECT doc_id AS id,
+  CASE WHEN doc_id % 3 > 0 THEN '2024-01-02 00:00:00~' ELSE '2024-01-01 00:00:00~' END
+    || source AS categories
+FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 > 0"""
 
 ORACLE = {
     "infer": f"WITH {_ASKED} SELECT id, answer AS raw_response FROM answered",
@@ -324,10 +369,15 @@ SELECT id, text FROM cut WHERE length(text) % 2 = 0""",
     "filtered_items": "SELECT doc_id AS id FROM documents WHERE length(text) < 400",
     "pending_items": """SELECT doc_id AS id, source FROM documents
 WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "recover_results": """SELECT doc_id AS id,
-  CASE WHEN doc_id % 3 > 0 THEN '2024-01-02 00:00:00~' ELSE '2024-01-01 00:00:00~' END
-    || source AS categories
-FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 > 0""",
+    "recover_results": _RECOVERED,
+    "table_upsert": _RECOVERED,
+    "table_as_of": """SELECT doc_id AS id, '2024-01-01 00:00:00~' || source AS categories
+FROM documents WHERE doc_id % 2 = 0""",
+    "table_history": """WITH n AS (
+  SELECT count(*) FILTER (doc_id % 2 = 0) AS old, count(*) FILTER (doc_id % 3 > 0) AS new FROM documents)
+SELECT version, operation, rows FROM (
+  SELECT 0 AS version, 'create' AS operation, 0 AS rows UNION ALL SELECT 1, 'append', old FROM n
+  UNION ALL SELECT 2, 'append', new FROM n UNION ALL SELECT 3, 'compact', old + new FROM n)""",
     "results_with_source": """SELECT l.doc_id + 1 AS id, quality, text, source
 FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id + 1""",
     "stream_dedup": "SELECT event_id, value AS cpu_percent FROM events",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.operators.results import one_per_id
+from labelflow.sources.table import ResultTable
 from labelflow.storage import materialise
 from labelflow.streaming.ledger import Session
 
@@ -60,6 +61,22 @@ def write_once(
         _run(source, store, state)
 
 
+def upsert_once(
+    source: DataFrame, transform: Transform, table: ResultTable, state: str, name: str
+) -> None:
+    """Run all available input through ``transform`` into a committed table.
+
+    Each micro-batch is one commit of the stream ``name``, which a replay after a
+    crash finds done. The newest result of an item stands. The rows of a commit
+    are counted by its own write and kept with it (``ResultTable.history``).
+    """
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        table.upsert(transform(batch), batch=(name, epoch))
+
+    _run(source, store, state)
+
+
 def _run(source: DataFrame, store: Callable[[DataFrame, int], None], state: str) -> None:
     query = (
         source.writeStream.foreachBatch(store)
