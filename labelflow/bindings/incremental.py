@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from labelflow.plans import label as L
 from labelflow.sources.table import ResultTable
 from labelflow.storage import scratch_dir
 from labelflow.streaming import incremental as S
+from labelflow.streaming.repeats import drop_repeats_for, keyed_state
 
 TEMPLATE = "<title>: <abstract>"
 
@@ -276,6 +279,26 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("event_id long, cpu_percent double").parquet(f"{work}/out")
 
 
+def stream_dedup_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event arrives, and all of them again five hours later by their time:
+    long after the delay, but within the lifetime of what is remembered."""
+    work = scratch_dir(spark)
+    events = d.table(spark, sf_dir, "events").select(
+        "event_id", F.col("ts").cast("timestamp").alias("at"), F.col("value").alias("cpu_percent")
+    )
+    again = events.select(
+        "event_id", (F.col("at") + F.expr("interval 5 hours")).alias("at"), F.lit(-1.0).alias("cpu_percent")
+    )
+    for rows in (events, again):
+        rows.write.mode("append").parquet(f"{work}/in")
+        with keyed_state(spark):
+            arrived = S.read_stream(spark, f"{work}/in", rows.schema)
+            # All events are within the delay of the first arrival, whose rows are in no order.
+            once = drop_repeats_for(arrived, "event_id", "at", "1 hour", timedelta(days=366))
+            S.append_once(once.select("event_id", "cpu_percent"), f"{work}/out", f"{work}/state")
+    return spark.read.schema("event_id long, cpu_percent double").parquet(f"{work}/out")
+
+
 def _shown_windows(windows: DataFrame) -> DataFrame:
     return windows.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"),
@@ -316,6 +339,7 @@ QUERIES = {
     "recover_results": recover_results,
     "results_with_source": results_with_source,
     "stream_dedup": stream_dedup,
+    "stream_dedup_late": stream_dedup_late,
     "resource_windows": resource_windows,
     "resource_windows_sliding": resource_windows_sliding,
 }
@@ -380,6 +404,7 @@ SELECT version, operation, rows FROM (
   UNION ALL SELECT 2, 'append', new FROM n UNION ALL SELECT 3, 'compact', old + new FROM n)""",
     "results_with_source": """SELECT l.doc_id + 1 AS id, quality, text, source
 FROM labels l LEFT JOIN documents d ON d.doc_id = l.doc_id + 1""",
+    "stream_dedup_late": "SELECT event_id, value AS cpu_percent FROM events",
     "stream_dedup": "SELECT event_id, value AS cpu_percent FROM events",
     "resource_windows": f"""WITH w AS (
   SELECT *, time_bucket(INTERVAL 6 HOURS, ts, TIMESTAMP '2000-01-01') AS start FROM events)
