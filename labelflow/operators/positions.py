@@ -73,9 +73,9 @@ def running_total(df: DataFrame, order: list[str], value: str, name: str) -> Dat
     Sums within range partitions, and one total per partition, as above.
     """
     ranged, part, row = _ranged(df, order)
-    start = free_name(ranged, "_start")
     before = Window.partitionBy(part).orderBy(row).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn(name, F.coalesce(F.sum(value).over(before), F.lit(0)))
+    start = free_name(local, "_start")
     starts = _starts(ranged, part, F.sum(value), start)
     return local.join(starts, part).select(
         *quoted(df.columns), (F.col(start) + F.col(name)).alias(name)
