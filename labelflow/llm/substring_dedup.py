@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.llm.common import by_bytes, free_name, text_batches, text_or_empty
-from labelflow.llm.textbytes import TextBytes, mix
+from labelflow.llm.textbytes import BASE, TextBytes, mix
 from labelflow.storage import materialise
 
 #: Bytes that the rolling hash sees: a boundary depends on these bytes before it.
@@ -86,24 +86,27 @@ class Chunks(TextBytes):
         return found
 
 
-def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, i (number in the row), digest and again (the row has the digest
-    before) of every chunk."""
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row, i, digest and again (the row has the digest before) of every two
+    neighbouring chunks, numbers i and i + 1 of the row."""
     for batch in by_bytes(batches, "text", TEXT_BYTES):
         chunks = Chunks(batch.column("text").cast(pa.binary()).to_pylist())
-        rows = batch.column("row").take(pa.array(chunks.of_text))
-        number = np.arange(len(chunks.first)) - chunks.bounds[chunks.of_text]
-        order = np.lexsort((chunks.digest, chunks.of_text))  # stable: equal ones stay in order
-        same = (np.diff(chunks.digest[order]) == 0) & (np.diff(chunks.of_text[order]) == 0)
+        at = np.flatnonzero(np.diff(chunks.of_text) == 0)
+        of_text = chunks.of_text[at]
+        digest = mix(chunks.digest[at] * np.uint64(BASE) + chunks.digest[at + 1])
+        rows = batch.column("row").take(pa.array(of_text))
+        number = at - chunks.bounds[of_text]
+        order = np.lexsort((digest, of_text))  # stable: equal ones stay in order
+        same = (np.diff(digest[order]) == 0) & (np.diff(of_text[order]) == 0)
         again = np.zeros(len(order), bool)
         again[order[1:][same]] = True
-        for at in range(0, len(number), 50_000):
-            some = slice(at, at + 50_000)
+        for low in range(0, len(number), 50_000):
+            some = slice(low, low + 50_000)
             yield pa.RecordBatch.from_arrays(
                 [
                     rows[some],
                     pa.array(number[some]),
-                    pa.array(chunks.digest.view(np.int64)[some]),
+                    pa.array(digest.view(np.int64)[some]),
                     pa.array(again[some]),
                 ],
                 names=["row", "i", "digest", "again"],
@@ -111,36 +114,38 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _marks(stored: DataFrame, row: str, text: str) -> DataFrame:
-    """row and the numbers of its chunks that occurred earlier in the table.
+    """row and the numbers of its chunks that occurred, together with the next
+    chunk, earlier in the table.
 
     Earlier is by the stored row number and then by the place in the row, so
     that it does not matter how the two scans are split into tasks. One partial
     aggregate finds each digest's first row; only digests that occur twice are
-    stored and joined with all chunks. Both sides of that join are plain, so a
-    very frequent chunk is split.
+    stored and joined with all pairs. Both sides of that join are plain, so a
+    very frequent pair is split.
     """
-    chunks = stored.select(F.col(row).alias("row"), text_or_empty(text).alias("text")).mapInArrow(
-        _chunk, "row long, i long, digest long, again boolean"
+    pairs = stored.select(F.col(row).alias("row"), text_or_empty(text).alias("text")).mapInArrow(
+        _pairs, "row long, i long, digest long, again boolean"
     )
     repeated = materialise(
-        chunks.groupBy("digest")
+        pairs.groupBy("digest")
         .agg(F.min("row").alias("first"), F.count("*").alias("n"))
         .where("n > 1")
         .select(F.col("digest").alias("_digest"), "first")
     )
-    later = chunks.join(repeated, F.col("digest") == F.col("_digest")).where("row > first or again")
+    later = pairs.join(repeated, F.col("digest") == F.col("_digest")).where("row > first or again")
     return later.groupBy(F.col("row").alias("_marked")).agg(F.collect_list("i").alias("_marks"))
 
 
 def _passages(chunks: Chunks, text: int, marks: np.ndarray) -> list[tuple[int, int]]:
     """Passages of one text as (first word, word behind), of all texts' words:
-    runs of marked chunks with LEAST_WORDS words."""
+    runs of marked pairs of chunks that hold LEAST_WORDS words. Runs may touch:
+    where one ends and the next begins, the two chunks were not together before."""
     low, high = chunks.bounds[text], chunks.bounds[text + 1]
     marked = np.zeros(high - low, bool)
     marked[marks] = True
     edge = np.diff(marked.view(np.int8), prepend=0, append=0)
     runs = zip(np.flatnonzero(edge == 1) + low, np.flatnonzero(edge == -1) + low)
-    found = [(int(chunks.first[a]), int(chunks.last[b - 1]) + 1) for a, b in runs]
+    found = [(int(chunks.first[a]), int(chunks.last[b]) + 1) for a, b in runs]
     return [(a, b) for a, b in found if b - a >= LEAST_WORDS]
 
 
@@ -172,9 +177,10 @@ def repeats(df: DataFrame, keys: list[str], text: str) -> DataFrame:
     """One row per row: ``keys``, text (what is left), removed_words and removed
     (spans of the whole text, in characters, end excluded).
 
-    A passage is a run of chunks, LEAST_WORDS words or more, each of which
-    occurs earlier in the table, in the same or another row; it is removed, and
-    the first occurrence of every chunk stays. Chunks are cut where a gear
+    A passage is a run of chunks, LEAST_WORDS words or more, of which every two
+    neighbours occur together earlier in the table, in the same or another row;
+    it is removed, and the first occurrence of every chunk stays. A text put
+    together from single chunks of others is left alone. Chunks are cut where a gear
     rolling hash of the WINDOW bytes before a word says so, so an insertion
     moves no boundary but its own, and whole texts are read. Digests have 64
     bits; a passage needs several in a row.

@@ -321,7 +321,24 @@ def test_earlier_is_by_row_number_not_by_task(spark):
         marks.append({r["_marked"]: sorted(r["_marks"]) for r in found})
     assert marks[0] == marks[1] and set(marks[0]) == {1, 2}
     chunks = substring_dedup.Chunks([text.encode()])
-    assert marks[0][1] == list(range(len(chunks.first)))
+    assert marks[0][1] == list(range(len(chunks.first) - 1))
+
+
+def test_a_text_of_single_chunks_of_others_is_left_alone(spark):
+    """No run of words of the last text is anywhere else as a whole."""
+    others = [prose(60, 40 + i) for i in range(6)]
+    parts = []
+    for text in others:
+        chunks = substring_dedup.Chunks([text.encode()])
+        at = int(np.argmax(chunks.size[2:-2])) + 2
+        words = text.split()
+        parts += words[chunks.first[at] : chunks.last[at] + 1]
+    assert len(parts) > substring_dedup.LEAST_WORDS
+    rows = list(enumerate([*others, " ".join(parts), f"{others[0]} {others[1]}"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in substring_dedup.repeats(df, ["doc_id"], "text").collect()}
+    assert [found[i]["removed_words"] for i in range(7)] == [0] * 7
+    assert found[7]["removed_words"] >= 90
 
 
 @pytest.mark.parametrize("period", range(1, 9))
@@ -338,7 +355,10 @@ def test_repeated_lines_are_cut_at_the_same_words(period):
             chunks.append(substring_dedup.Chunks([text.encode()]))
         shared = np.isin(chunks[1].digest, chunks[0].digest)
         assert chunks[1].size[shared].sum() >= 30, (period, seed)
-        found = substring_dedup._passages(chunks[1], 0, np.flatnonzero(shared))
+        known = set(zip(chunks[0].digest[:-1], chunks[0].digest[1:]))
+        pairs = zip(chunks[1].digest[:-1], chunks[1].digest[1:])
+        marks = np.flatnonzero([p in known for p in pairs])
+        found = substring_dedup._passages(chunks[1], 0, marks)
         assert sum(b - a for a, b in found) >= 30, (period, seed)
 
 

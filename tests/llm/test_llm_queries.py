@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 from xxhash import xxh64_intdigest
 
 import corpus_pipeline
-from labelflow.llm import queries
+from labelflow.llm import queries, substring_dedup
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
@@ -148,6 +148,58 @@ def test_token_files(spark, texts):
         start += len(expected)
 
 
+def plain_chunks(words, gear):
+    """First words of the chunks: the rule of cuts, word by word."""
+    line, hashes = " ".join(words).encode(), []
+    at = 0
+    for word in words:
+        before = line[max(0, at - 8) : at]
+        rolled = sum(int(gear[b]) << k for k, b in enumerate(reversed(before)))
+        hashes.append(rolled % 2**32 if at >= 8 else None)
+        at += len(word.encode()) + 1
+    chosen = [h is not None and h >> 28 < 5 for h in hashes]
+    opens = {
+        i for i in range(len(words)) if i == 0 or chosen[i] and not any(chosen[max(0, i - 2) : i])
+    }
+    extra = []
+    for i, h in enumerate(hashes):
+        around = range(max(0, i - 8), min(len(words), i + 9))
+        if h is None or opens.intersection(around) or (extra and i - extra[-1] <= 2):
+            continue
+        if all(hashes[k] is None or h <= hashes[k] for k in around):
+            extra.append(i)
+    return sorted(opens | set(extra))
+
+
+def test_repeats_equal_a_plain_version(spark, texts):
+    gear = substring_dedup.GEAR
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    # rows are judged in the order of storage
+    order = [r["doc_id"] for r in docs.select("doc_id").collect()]
+    rows = substring_dedup.repeats(docs, ["doc_id"], "text").collect()
+    found = {r["doc_id"]: r for r in rows}
+    seen, removed = set(), Counter()
+    for doc in order:
+        words = WORD.findall(texts[doc])
+        first = plain_chunks(words, gear) if words else []
+        ends = [*first[1:], len(words)][: len(first)]
+        chunks = [tuple(words[a:b]) for a, b in zip(first, ends)]
+        run, left = [], set(range(len(words)))
+        for i in range(len(chunks)):
+            pair = tuple(chunks[i : i + 2])
+            if len(pair) == 2 and pair in seen:
+                run.append(i)
+                continue
+            if run and ends[i] - first[run[0]] >= 20:
+                left -= set(range(first[run[0]], ends[i]))
+            run = []
+            if len(pair) == 2:
+                seen.add(pair)
+        assert WORD.findall(found[doc]["text"]) == [words[i] for i in sorted(left)], doc
+        removed["words"] += len(words) - len(left)
+    assert removed["words"] > 100
+
+
 def test_repeats(spark, texts):
     rows = queries.op3_substring_dedup(spark, SF_DIR).collect()
     found = {r["doc_id"]: r for r in rows}
