@@ -21,6 +21,8 @@ from labelflow.storage import materialise
 TEXT_BYTES = 4 << 20
 #: Items that one task fits together (their sizes and places, some 100 MB).
 ITEMS = 500_000
+#: Bytes of rows, ids included, that one task holds to fit them together.
+HELD_BYTES = 64 << 20
 #: A sequence is nearly full, and final, with at most this share of it free.
 NEARLY_FULL = 1 / 256
 #: Rounds of tasks side by side go on while one closes at least this share of the
@@ -115,7 +117,7 @@ def fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.nd
 
 def _fit_partition(capacity: int, level: int, size: str):
     """A function for mapInArrow: best fit within the partition, in groups of
-    ITEMS rows. Adds the bin, the place in it, and the bin's free space."""
+    ITEMS rows or HELD_BYTES. Adds the bin, the place in it, and the bin's free space."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -136,7 +138,7 @@ def _fit_partition(capacity: int, level: int, size: str):
 
         for batch in batches:
             held.append(batch)
-            if sum(b.num_rows for b in held) >= ITEMS:
+            if sum(b.num_rows for b in held) >= ITEMS or sum(b.nbytes for b in held) >= HELD_BYTES:
                 yield from fitted()
         if held:
             yield from fitted()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -152,16 +152,18 @@ def _stars(
     return linked, label[linked]
 
 
-def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFrame:
+def near_links(
+    nodes: DataFrame, radius: int, also_radius: int = 64, tree: Callable = _stars
+) -> DataFrame:
     """Links (a, b) between nodes (node, fp, also) that connect all whose fp are
     within ``radius`` bits and whose also are within ``also_radius``, directly
-    or through others. ``node`` and (fp, also) are distinct.
+    or through others. ``node`` is distinct.
 
     One row per node and mask goes into a partial aggregate; most buckets have
     one member and end there, those of two are compared as pairs. Only members
     of fuller buckets move again. A bucket of n members is dealt into n / BLOCK
     blocks and every pair of blocks is compared by some task, so no task holds
-    more than two blocks and no link is lost. A task returns a tree of links
+    more than two blocks and no link is lost. A task returns a ``tree`` of links
     for each component it sees, never all pairs. A bucket's key is a hash of
     mask and bits: buckets that share one are compared as one.
     """
@@ -199,7 +201,7 @@ def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFram
             node, fp, also = np.concatenate(parts, axis=1)
             _, once = np.unique(node, return_index=True)
             node, fp, also = node[once], fp[once], also[once]
-            a, b = _stars(fp, also, radius, also_radius)
+            a, b = tree(fp, also, radius, also_radius)
             return pa.RecordBatch.from_arrays(
                 [pa.array(node[a]), pa.array(node[b])], names=["a", "b"]
             )
@@ -245,35 +247,13 @@ def near_links(nodes: DataFrame, radius: int, also_radius: int = 64) -> DataFram
     return pairs.union(found)
 
 
-def _grouped(
-    df: DataFrame, keys: list[str], text: str, shingle: int, radius: int,
-    also_shingle: int | None = None, also_radius: int = 64,
-) -> DataFrame:
-    """``keys``, fp, group (a node of the component) and component_id.
-
-    With ``also_shingle``, links must be near in a second fingerprint as well.
-    A node is then a hash of both, else the one fingerprint itself.
-    """
-    shingles = {"fp": shingle} | ({"also": also_shingle} if also_shingle else {})
-    hashed = materialise(
-        fingerprints(df, keys, text, shingles).withColumns(
-            {"node": F.xxhash64("fp", "also")}
-            if also_shingle
-            else {"node": F.col("fp"), "also": F.lit(0).cast("long")}
-        )
-    )
-    rows = hashed.count()
-    distinct = store_rows(
-        hashed.groupBy("node").agg(
-            F.min(keys[0]).alias("least"), F.min("fp").alias("fp"), F.min("also").alias("also")
-        ),
-        rows,
-    )
-    links = near_links(distinct.select("node", "fp", "also"), radius, also_radius)
+def node_groups(distinct: DataFrame, links: DataFrame, rows: int) -> DataFrame:
+    """_node, group (a node of the component) and component_id (the least of
+    ``least`` in it) of all ``distinct`` nodes (node, least)."""
     nodes = store_rows(connected(links), rows)
     least = distinct.join(nodes, "node").groupBy("root").agg(F.min("least").alias("component"))
     linked = store_rows(nodes.join(least, "root").select("node", "root", "component"), rows)
-    of_node = store_rows(
+    return store_rows(
         distinct.select("node", "least").join(linked, "node", "left").select(
             F.col("node").alias("_node"),
             F.coalesce("root", "node").alias("group"),
@@ -283,7 +263,21 @@ def _grouped(
         ),
         rows,
     )
-    return hashed.join(of_node, F.col("node") == F.col("_node")).select(
+
+
+def _grouped(df: DataFrame, keys: list[str], text: str, shingle: int, radius: int) -> DataFrame:
+    """``keys``, fp, group (a fingerprint of the component) and component_id."""
+    hashed = materialise(fingerprints(df, keys, text, {"fp": shingle}))
+    rows = hashed.count()
+    distinct = store_rows(
+        hashed.groupBy("fp").agg(F.min(keys[0]).alias("least")).withColumns(
+            {"node": F.col("fp"), "also": F.lit(0).cast("long")}
+        ),
+        rows,
+    )
+    links = near_links(distinct.select("node", "fp", "also"), radius)
+    of_node = node_groups(distinct, links, rows)
+    return hashed.join(of_node, F.col("fp") == F.col("_node")).select(
         *keys, "fp", "group", "component_id"
     )
 
@@ -305,26 +299,20 @@ def near_duplicates(
     )
 
 
-def keep_one(
-    docs: DataFrame, shingle: int, radius: int, also_shingle: int | None = None, also_radius: int = 64
-) -> DataFrame:
-    """``docs`` with one row of each component: that of the least doc_id.
-
-    Rows link if their fingerprints are within ``radius`` bits and, with
-    ``also_shingle``, those of a second shingle size within ``also_radius``.
-    Null ids come last; among rows of one doc_id the first in storage stays.
-    The columns of ``docs`` are returned as they are.
-    """
+def with_row(docs: DataFrame) -> tuple[DataFrame, str, DataFrame]:
+    """``docs`` stored with a row number, that column's name, and _id, _row, _text."""
     row = free_name(docs, "_row")
     stored = materialise(docs.withColumn(row, F.monotonically_increasing_id()))
     keys = stored.select(
         F.col("doc_id").alias("_id"), F.col(row).alias("_row"), F.col("text").alias("_text")
     )
-    found = materialise(
-        _grouped(
-            keys, ["_id", "_row"], "_text", shingle, radius, also_shingle, also_radius
-        ).select("_id", "_row", "group")
-    )
+    return stored, row, keys
+
+
+def first_of_group(stored: DataFrame, row: str, found: DataFrame) -> DataFrame:
+    """``stored`` without ``row`` and with one row of each group of ``found``
+    (_id, _row, group): that of the least id. Null ids come last; among rows of
+    one id the first in storage stays."""
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_row")
     rows = found.count()
     first = store_rows(

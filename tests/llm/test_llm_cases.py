@@ -19,6 +19,7 @@ from labelflow.llm import (
     mixing,
     packing,
     quality,
+    similar,
     simhash,
     substring_dedup,
     token_counts,
@@ -273,6 +274,41 @@ def test_links_of_full_buckets(spark, monkeypatch):
     assert {v: root.get(v, v) for v in values} == {v: find(v) for v in values}
 
 
+def test_nearest_tree_connects_what_any_distance_connects():
+    chosen = random.Random(11)
+    for n in (1, 2, 3, 40):
+        values = np.array([chosen.getrandbits(3) for _ in range(n)], np.int64)
+        also = np.array([chosen.getrandbits(7) for _ in range(n)], np.int64)
+        a, b = similar.nearest_tree(values, also, 2, 5)
+        for limit in range(6):
+            apart = np.bitwise_count(also[:, None] ^ also)
+            near = (np.bitwise_count(values[:, None] ^ values) <= 2) & (apart <= limit)
+            tree = np.zeros_like(near)
+            some = apart[a, b] <= limit
+            tree[a[some], b[some]] = tree[b[some], a[some]] = True
+            for _ in range(7):
+                near = near | (near.astype(int) @ near > 0)
+                tree = tree | (tree.astype(int) @ tree > 0)
+            assert len(a) < n and (near | np.eye(n, dtype=bool) == tree | np.eye(n, dtype=bool)).all()
+
+
+def test_similar_texts_cases(spark, odd, none, odd_rows, monkeypatch):
+    """Null, empty and repeated rows, clashing columns, and a group of copies
+    with edits that is dealt into blocks."""
+    kept = similar.keep_dissimilar(odd, 5, 0.8, 6, 19)
+    assert kept.columns == odd.columns
+    blank = [r for r in kept.collect() if not (r["text"] or "").strip()]
+    assert len(blank) == 1 and kept.where("doc_id = 3").count() == 1
+    assert similar.keep_dissimilar(none, 5, 0.8, 6, 19).count() == 0
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    words = prose(300, 77).split()
+    rows = [(i, " ".join([*words[: 6 * i], f"edit{i}", *words[6 * i + 1 :]])) for i in range(40)]
+    rows += [(100 + i, prose(60, 900 + i)) for i in range(20)] + [(200, " ".join(words[:180]))]
+    df = spark.createDataFrame(rows[::-1], "doc_id long, text string").repartition(3)
+    found = sorted(r["doc_id"] for r in similar.keep_dissimilar(df, 5, 0.8, 6, 19).collect())
+    assert found == [0, *range(100, 120), 200]
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(300)]
     hub = [(1_000, 1_000 + i) for i in range(1, 400)] + [(2_000, 2_000)]
