@@ -6,7 +6,7 @@ import importlib
 
 MODULES = [
     "files", "text", "requests", "normalizer", "batches", "costs", "status", "incremental",
-    "reports",
+    "reports", "timelines",
 ]
 
 
