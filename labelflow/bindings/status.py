@@ -83,27 +83,34 @@ def validate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.validate_ids(asked, d.ledger(spark, sf_dir))
 
 
-def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What three runs left in a run ledger: one over a third of the parts that
-    completes, one over the rest that fails halfway, and one that resumes it."""
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run ledger of three runs: one over a third of the parts that completes,
+    one over the rest whose model is lost halfway, and one that resumes it.
+
+    Parts arrive in as many files as the table has partitions. The number of
+    files of an arrival is the size of a micro-batch, so the second run gets the
+    second third whole before it meets the third.
+    """
     work, parts = scratch_dir(spark), d.table(spark, sf_dir, "part")
     third = F.col("p_partkey") % 3
     count = {r["k"]: r["n"] for r in parts.groupBy(third.alias("k")).agg(F.count("*").alias("n")).collect()}
     as_of = datetime.fromisoformat(d.AS_OF)
+    arrived = [0]
 
     def arrive(k: int) -> None:
-        parts.where(third == k).coalesce(1).write.mode("append").parquet(f"{work}/in")
+        parts.where(third == k).write.mode("append").parquet(f"{work}/in")
+        arrived.append(len(spark.read.schema(parts.schema).parquet(f"{work}/in").inputFiles()))
 
-    def run(name: str, minutes: int, total: int | None, fail: bool = False) -> None:
+    def run(name: str, minutes: int, total: int | None, files: int, fail: bool = False) -> None:
         def labelled(batch: DataFrame) -> DataFrame:
             if fail and not batch.where(third == 2).isEmpty():
                 raise RuntimeError("model lost")
             return batch.where("p_size > 10").select("p_partkey")
 
         session = ledger.Session(
-            spark, f"{work}/ledger", name, total, as_of - timedelta(minutes=minutes)
+            spark, f"{work}/ledger", name, total, as_of - timedelta(minutes=minutes), interval=files
         )
-        source = incremental.read_stream(spark, f"{work}/in", parts.schema, files_per_trigger=1)
+        source = incremental.read_stream(spark, f"{work}/in", parts.schema, files_per_trigger=files)
         try:
             incremental.write_once(source, labelled, f"{work}/out", f"{work}/state", session)
         except StreamingQueryException:
@@ -111,24 +118,33 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
                 raise
 
     arrive(0)
-    run("sync_1", 300, count.get(0, 0))
+    run("sync_1", 300, count.get(0, 0), arrived[1])
     arrive(1)
     arrive(2)
-    run("sync_2", 200, count.get(1, 0) + count.get(2, 0), fail=True)
-    run("sync_3", 100, None)
+    files = max(1, arrived[2] - arrived[1])
+    run("sync_2", 200, count.get(1, 0) + count.get(2, 0), files, fail=True)
+    run("sync_3", 100, None, max(1, arrived[3] - arrived[2]))
     return ledger.read_sessions(spark, f"{work}/ledger")
 
 
 def list_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.session_report(sessions(spark, sf_dir)).drop("status")
+    return M.session_report(_runs(spark, sf_dir)).select(
+        "session_id", "processed_count", "total_results", "pending_items_count"
+    )
 
 
 def session_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.session_report(sessions(spark, sf_dir)).select("session_id", "status")
+    """How each run stands, and what it says of itself."""
+    return M.session_report(_runs(spark, sf_dir)).select(
+        "session_id", "status", "enabled", (F.col("interval") > 0).alias("has_interval"),
+        F.col("last_error").contains("model lost").alias("lost"),
+        F.col("updated_at").isNotNull().alias("dated"),
+        F.col("elapsed_text").rlike(r"^\d+:\d\d:\d\d$").alias("timed"),
+    )
 
 
 def progress_eta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.progress(sessions(spark, sf_dir), _as_of()).select(
+    return M.progress(_runs(spark, sf_dir), _as_of()).select(
         "session_id", "processed_count", "elapsed_seconds",
         F.round("progress_percent", 4).alias("progress_percent"),
         F.round("remaining_seconds", 4).alias("remaining_seconds"),
@@ -222,7 +238,8 @@ SELECT 'batch_' || l_orderkey * 2 AS batch_id,
 SELECT session_id, processed AS processed_count, results AS total_results,
        pending AS pending_items_count FROM sessions""",
     "session_status": f"""{_SESSIONS}
-SELECT session_id, CASE WHEN k = 1 THEN 'crashed' ELSE 'completed' END AS status
+SELECT session_id, CASE WHEN k = 1 THEN 'crashed' ELSE 'completed' END AS status,
+  true AS enabled, true AS has_interval, CASE WHEN k = 1 THEN true END AS lost, true AS dated, true AS timed
 FROM sessions""",
     "progress_eta": f"""{_SESSIONS}
 SELECT session_id, processed AS processed_count, CAST(elapsed AS DOUBLE) AS elapsed_seconds,

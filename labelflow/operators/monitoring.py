@@ -100,14 +100,26 @@ def validate_ids(requested: DataFrame, ledger: DataFrame) -> DataFrame:
 
 
 def session_report(sessions: DataFrame) -> DataFrame:
-    """Sessions of a run ledger with their status, ordered by id."""
+    """Sessions of a run ledger, ordered by id: status, counts, when the last row
+    was written, the error of a crashed run, how long the run took up to then (seconds
+    and as h:mm:ss), and its checkpoint settings."""
     state = F.col("additional_state")
+    elapsed = seconds_between(F.col("started_at"), F.col("timestamp"))
+    whole = F.floor(elapsed).cast("long")
+    hours = F.floor(whole / 3600).cast("long")
+    text = F.format_string("%d:%02d:%02d", hours, F.floor(whole % 3600 / 60).cast("long"), whole % 60)
     return sessions.select(
         "session_id",
         "processed_count",
         "total_results",
         "pending_items_count",
         S.session_status(state["emergency_save"], state["completed"]).alias("status"),
+        F.col("timestamp").alias("updated_at"),
+        state["last_error"].alias("last_error"),
+        elapsed.alias("elapsed_seconds"),
+        F.when(elapsed.isNotNull(), text).alias("elapsed_text"),
+        "interval",
+        "enabled",
     ).orderBy("session_id")
 
 

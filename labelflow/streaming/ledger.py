@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 SESSION_SCHEMA = (
     "session_id string, timestamp timestamp_ntz, processed_count long, total_results long,"
     " pending_items_count long, total_items long, started_at timestamp_ntz,"
-    " additional_state struct<last_error: string, emergency_save: boolean,"
+    " interval long, enabled boolean, additional_state struct<last_error: string, emergency_save: boolean,"
     " completed: boolean>"
 )
 
@@ -20,16 +21,29 @@ def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
+def _reason(error: BaseException) -> str:
+    """What went wrong: of an error in a task's or a batch's Python code, which
+    comes with the whole traceback, the line that names it."""
+    named = re.findall(r"^(?:\w+\.)*\w+(?:Error|Exception): .+$", str(error), re.MULTILINE)
+    return named[-1] if named else (str(error).splitlines() or [type(error).__name__])[0]
+
+
 @dataclass
 class Session:
     """One run. As a context manager it records how the run ended: completed,
-    or an emergency row with the error, which is raised on."""
+    or an emergency row with the error, which is raised on.
+
+    ``interval`` is what a micro-batch takes (files, or rows of the user's own
+    stream) and stands in the ledger. With ``enabled`` false nothing is written.
+    """
 
     spark: SparkSession
     path: str
     session_id: str
     total_items: int | None = None
     started_at: datetime | None = None
+    interval: int | None = None
+    enabled: bool = True
     processed: int = 0
     results: int = 0
 
@@ -41,7 +55,7 @@ class Session:
         if error is None:
             self._append(completed=True)
         else:
-            self._append(last_error=str(error).splitlines()[0], emergency_save=True)
+            self._append(last_error=_reason(error), emergency_save=True)
 
     def progress(self, processed: int, results: int) -> None:
         self.processed += processed
@@ -49,10 +63,12 @@ class Session:
         self._append()
 
     def _append(self, last_error=None, emergency_save=None, completed=None) -> None:
+        if not self.enabled:
+            return
         pending = None if self.total_items is None else self.total_items - self.processed
         row = (
             self.session_id, _now(), self.processed, self.results, pending, self.total_items,
-            self.started_at or _now(), (last_error, emergency_save, completed),
+            self.started_at or _now(), self.interval, self.enabled, (last_error, emergency_save, completed),
         )
         rows = self.spark.createDataFrame([row], SESSION_SCHEMA)
         rows.coalesce(1).write.mode("append").option("ignoreNullFields", False).json(self.path)
