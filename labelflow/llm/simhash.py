@@ -153,7 +153,8 @@ def _stars(
 
 
 def near_links(
-    nodes: DataFrame, radius: int, also_radius: int = 64, tree: Callable = _stars
+    nodes: DataFrame, radius: int, also_radius: int = 64, tree: Callable = _stars,
+    once: bool = False,
 ) -> DataFrame:
     """Links (a, b) between nodes (node, fp, also) that connect all whose fp are
     within ``radius`` bits and whose also are within ``also_radius``, directly
@@ -165,11 +166,24 @@ def near_links(
     blocks and every pair of blocks is compared by some task, so no task holds
     more than two blocks and no link is lost. A task returns a ``tree`` of links
     for each component it sees, never all pairs. A bucket's key is a hash of
-    mask and bits: buckets that share one are compared as one.
+    mask and bits, behind the mask's number: buckets that share one are compared as
+    one.
+
+    ``once`` is for a ``tree`` whose links are near ones and connect any two near
+    members by links no farther in ``also``. A link whose ends agree on an earlier
+    mask as well is then left out: the earlier bucket holds both ends and its
+    tree connects them, so near copies that meet in most tables are not linked
+    anew in each.
     """
     masks = covering_masks(radius)
+    # 10 bits for the mask's number, 54 for the hash.
     keys = F.array(
-        *[F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(m)) for t, m in enumerate(masks)]
+        *[
+            F.shiftrightunsigned(F.xxhash64(F.lit(t), F.col("fp").bitwiseAND(m)), 10).bitwiseOR(
+                F.lit(t << 54 if t < 512 else (t - 1024) << 54)
+            )
+            for t, m in enumerate(masks)
+        ]
     )
     keyed = nodes.select("node", F.explode(keys).alias("key"))
     buckets = materialise(
@@ -197,11 +211,18 @@ def near_links(
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def linked(parts: list[np.ndarray]) -> pa.RecordBatch:
+        kept = np.array(masks, np.int64)
+
+        def linked(key: int, parts: list[np.ndarray]) -> pa.RecordBatch:
             node, fp, also = np.concatenate(parts, axis=1)
-            _, once = np.unique(node, return_index=True)
-            node, fp, also = node[once], fp[once], also[once]
+            _, at = np.unique(node, return_index=True)
+            node, fp, also = node[at], fp[at], also[at]
             a, b = tree(fp, also, radius, also_radius)
+            if once:
+                differ, new = fp[a] ^ fp[b], np.ones(len(a), bool)
+                for mask in kept[: (int(key) >> 54) & 1023]:
+                    new &= (differ & mask) != 0
+                a, b = a[new], b[new]
             return pa.RecordBatch.from_arrays(
                 [pa.array(node[a]), pa.array(node[b])], names=["a", "b"]
             )
@@ -217,12 +238,12 @@ def near_links(
             for low, high in zip(edges, edges[1:]):
                 cell = tuple(p[low] for p in parts)
                 if cell != current and held:
-                    yield linked(held)
+                    yield linked(current[0], held)
                     held = []
                 current = cell
                 held.append(values[:, low:high])
         if held:
-            yield linked(held)
+            yield linked(current[0], held)
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")

@@ -274,6 +274,52 @@ def test_links_of_full_buckets(spark, monkeypatch):
     assert {v: root.get(v, v) for v in values} == {v: find(v) for v in values}
 
 
+def test_near_links_once_connect_what_any_distance_connects(spark, monkeypatch):
+    """Links left out because an earlier table has them part nobody, at any
+    distance in the second fingerprint, also in crowded buckets."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    chosen = random.Random(5)
+
+    def near(bits, most, width):
+        return sum(1 << i for i in chosen.sample(range(width), chosen.randint(0, most))) ^ bits
+
+    rows = {}
+    for _ in range(3):
+        fp, also = chosen.getrandbits(63), chosen.getrandbits(63)
+        for _ in range(50):
+            rows[len(rows)] = near(fp, 3, 63), near(also, 6, 63)
+    for k in range(60):  # a chain, each within 3 bits of the one before
+        fp = near(fp, 3, 63)
+        rows[len(rows)] = fp, near(also, 6, 63)
+    df = spark.createDataFrame([(k, *v) for k, v in rows.items()], "node long, fp long, also long")
+    often, once = (
+        {(r["a"], r["b"]) for r in found.collect()}
+        for found in (
+            simhash.near_links(df, 3, 8, similar.nearest_tree),
+            simhash.near_links(df, 3, 8, similar.nearest_tree, once=True),
+        )
+    )
+    assert once < often
+
+    def groups(links):
+        label = list(range(len(rows)))
+        for a, b in links:
+            x, y = label[a], label[b]
+            label = [x if c == y else c for c in label]
+        first = {}
+        return [first.setdefault(c, i) for i, c in enumerate(label)]
+
+    def apart(what, a, b):
+        return (rows[a][what] ^ rows[b][what]).bit_count()
+
+    every = [(a, b) for a in rows for b in range(a) if apart(0, a, b) <= 3]
+    for limit in range(9):
+        assert groups([e for e in once if apart(1, *e) <= limit]) == groups(
+            [e for e in every if apart(1, *e) <= limit]
+        )
+    assert all(apart(0, *e) <= 3 and apart(1, *e) <= 8 for e in once)
+
+
 def test_nearest_tree_connects_what_any_distance_connects():
     chosen = random.Random(11)
     for n in (1, 2, 3, 40):
