@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from labelflow.functions.status import DONE, FAILED
+from labelflow.streaming.repeats import as_text, from_text, group_of
 
-_OUT = ["batch_id", "kind", "from_status", "to_status", "at_ms", "since_ms"]
+_OUT = ["id", "kind", "from_status", "to_status", "at_ms", "since_ms"]
 
 
 class BatchLife(StatefulProcessor):
-    """Transitions of one batch, and an alarm where a status lasts too long.
+    """Transitions of the batches of a group, and an alarm where a status lasts too long.
 
     ``waiting`` holds events that the watermark has not passed, so that they are
-    taken in the order of their times however they arrive; ``now`` holds the
-    status, since when, and whether its alarm is out. One timer stands at the
-    next moment at which something can happen.
+    taken in the order of their times however they arrive; ``now`` holds each
+    batch's status, since when, and whether its alarm is out. Both are read and
+    written for a group of batches together. Timers stand at the next moments at
+    which something can happen.
     """
 
     def __init__(self, limits: dict[str, int], final: tuple[str, ...]):
@@ -28,48 +30,57 @@ class BatchLife(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getListState("waiting", "ms long, status string")
-        self.now = handle.getValueState("now", "status string, since long, alarmed boolean")
+        self.waiting = handle.getListState("waiting", "id string, ms long, status string")
+        self.now = handle.getListState("now", "id string, status string, since long, alarmed boolean")
+        self.handled: dict = {}  # the watermark up to which groups were looked at
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        events = [
-            (int(ms), status)
-            for some in rows
-            for ms, status in zip(some["ms"].tolist(), some["status"].tolist())
-            if status is not None
-        ]
-        if events:
-            self.waiting.appendList(events)
-            self.handle.registerTimer(min(events)[0])
+        for some in rows:
+            events = [
+                (one, int(ms), status)
+                for one, ms, status in zip(*(some[c].tolist() for c in ("id", "ms", "status")))
+                if status is not None
+            ]
+            if events:
+                self.waiting.appendList(events)
+                self.handle.registerTimer(min(ms for _, ms, _ in events))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         passed = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(self.waiting.get()) if self.waiting.exists() else []
-        ready = [e for e in waiting if e[0] <= passed]
-        status, since, alarmed = self.now.get() if self.now.exists() else (None, None, False)
+        if self.handled.get(key) == passed:  # by another timer
+            return
+        self.handled[key] = passed
+        ready: dict[str | None, list] = {}
+        later = []
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        for one, ms, status in waiting:
+            if ms <= passed:
+                ready.setdefault(one, []).append((ms, status))
+            else:
+                later.append((one, ms, status))
+        now = {one: rest for one, *rest in self.now.get()} if self.now.exists() else {}
         found = []
-        for ms, following in [*ready, (passed, None)]:
-            due = None if status is None or alarmed else self._due(status, since)
-            if due is not None and due <= ms:
-                found.append((key[0], "overdue", status, None, due, since))
-                alarmed = True
-            if following is not None and following != status:
-                found.append((key[0], "transition", status, following, ms, since))
-                status, since, alarmed = following, ms, False
-                if status in self.final:
-                    status, since = None, None
-        later = waiting[len(ready):]
+        for one in {**now, **ready}:
+            status, since, alarmed = now.get(one, (None, None, False))
+            for ms, following in [*sorted(ready.get(one, ())), (passed, None)]:
+                due = None if status is None or alarmed else self._due(status, since)
+                if due is not None and due <= ms:
+                    found.append((one, "overdue", status, None, due, since))
+                    alarmed = True
+                if following is not None and following != status:
+                    found.append((one, "transition", status, following, ms, since))
+                    status, since, alarmed = following, ms, False
+                    if status in self.final:
+                        status, since = None, None
+            now[one] = (status, since, alarmed)
         if ready:
-            self.waiting.clear()
-            if later:
-                self.waiting.appendList(later)
-        if status is None:
-            self.now.clear()
-        elif found:
-            self.now.update((status, since, alarmed))
-        due = None if status is None or alarmed else self._due(status, since)
-        next_moments = [ms for ms in (due, later[0][0] if later else None) if ms is not None]
+            self.waiting.put(later) if later else self.waiting.clear()
+        now = {one: state for one, state in now.items() if state[0] is not None}
+        if found:
+            self.now.put([(one, *state) for one, state in now.items()]) if now else self.now.clear()
+        dues = [self._due(status, since) for status, since, alarmed in now.values() if not alarmed]
+        next_moments = [ms for ms in (*dues, *(ms for _, ms, _ in later)) if ms is not None]
         if next_moments:
             self.handle.registerTimer(min(next_moments))
         if found:
@@ -102,24 +113,24 @@ def batch_life(
     without a time is left out; those without an id are one batch. Start the
     query inside of ``repeats.keyed_state``.
     """
+    of = events.schema["batch_id"].dataType
     rows = events.where(F.col("at").isNotNull()).select(
-        "batch_id", "status", "at", F.unix_millis("at").alias("ms")
+        as_text(F.col("batch_id"), of).alias("id"), "status", "at", F.unix_millis("at").alias("ms")
     )
-    key = events.schema["batch_id"].dataType.simpleString()
     found = (
         rows.withWatermark("at", delay)
-        .groupBy("batch_id")
+        .withColumn("group", group_of(F.col("id")))
+        .groupBy("group")
         .transformWithStateInPandas(
             statefulProcessor=BatchLife(limits, final),
             outputStructType=(
-                f"batch_id {key}, kind string, from_status string, to_status string,"
-                " at_ms long, since_ms long"
+                "id string, kind string, from_status string, to_status string, at_ms long, since_ms long"
             ),
             outputMode="Append",
             timeMode="EventTime",
         )
     )
     return found.select(
-        "batch_id", "kind", "from_status", "to_status", F.timestamp_millis("at_ms").alias("at"),
+        from_text(F.col("id"), of).alias("batch_id"), "kind", "from_status", "to_status", F.timestamp_millis("at_ms").alias("at"),
         ((F.col("at_ms") - F.col("since_ms")) / 1000).alias("seconds"),
     )

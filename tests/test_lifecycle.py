@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime, timedelta
 
 from labelflow.streaming import incremental as S
+from labelflow.streaming import repeats
 from labelflow.streaming.lifecycle import batch_life
 from labelflow.streaming.repeats import keyed_state
 
@@ -56,3 +57,22 @@ def test_life_of_batches_over_restarts(spark, tmp_path):
         ("b", 65, "overdue", "in_progress", None, 3600),
     ]
     assert held[2] == 2  # "a" has ended; null and "b" still stand
+
+
+def test_batches_of_a_group_share_lists_of_state(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(repeats, "GROUPS", 4)
+    folder, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    schema = "batch_id long, status string, at timestamp"
+    big = (1 << 60) + 1
+    ids = [None, *range(big, big + 200)]
+    rows = [(b, "in_progress", START + timedelta(minutes=1)) for b in ids]
+    rows += [(b, "validating", START) for b in ids] + [(0, None, START + timedelta(minutes=30))]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(folder)
+    with keyed_state(spark):
+        S.append_once(batch_life(S.read_stream(spark, folder, schema), "10 minutes", LIMITS), out, state)
+    got = spark.read.parquet(out).select("batch_id", "to_status", "seconds").collect()
+    first = [(b or 0, "validating", None) for b in ids]
+    second = [(b or 0, "in_progress", 60.0) for b in ids]
+    assert sorted(((r[0] or 0, r[1], r[2]) for r in got), key=lambda x: x[:2]) == sorted(first + second, key=lambda x: x[:2])
+    now = spark.read.format("statestore").option("stateVarName", "now").load(state)
+    assert now.count() == 201 and now.select("key").distinct().count() == 4
