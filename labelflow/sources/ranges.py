@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.operators.positions import free_name, quoted, running_total
-from labelflow.storage import materialise
+from labelflow.storage import materialise, text_batches
 
 #: Characters of a range's stored parts.
 PART_CHARS = 1 << 20
@@ -293,7 +293,7 @@ def read_records(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
     )
-    parts = materialise(placed.mapInArrow(_scan(form), _PARTS))
+    parts = materialise(text_batches(placed).mapInArrow(_scan(form), _PARTS))
     ends = parts.where(F.size("units") == 0).drop("units", "part")
     starts = materialise(
         ends.repartition("file")
@@ -321,7 +321,7 @@ def read_records(
             (F.col("records") + records).alias("number"), "base",
         )
     )
-    cut = materialise(known.mapInArrow(_cut(form), _RECORDS))
+    cut = materialise(text_batches(known).mapInArrow(_cut(form), _RECORDS))
     # Of two files with the same base, one has no records but those skipped.
     pieces = cut.where(~F.col("whole") & (F.col("number") >= skip))
     joined = (

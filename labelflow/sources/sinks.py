@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelflow.storage import text_batches
 
 def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
     """JSON lines; appending adds files and never rewrites old rows."""
@@ -39,7 +40,7 @@ def write_json_arrays(df: DataFrame, path: str, order: list[str | Column]) -> No
         .sortWithinPartitions(*order)
         .select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"))
     )
-    lines.mapInArrow(bracketed, "value string").write.text(path)
+    text_batches(lines).mapInArrow(bracketed, "value string").write.text(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:

@@ -8,10 +8,12 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelflow import storage
 from labelflow.sources import items as I
-from labelflow.sources import ranges
+from labelflow.sources import ranges, sinks
 
 VALUES = [
     "", "a", "x,y", 'say "hi"', "two\nlines", '\n', '","', '"', '""', "}{", '\\', 'a\\"b', "é中👩",
@@ -161,3 +163,15 @@ def test_user_columns_of_internal_names_stay(spark, tmp_path):
     table = I.read_table(spark, path, I.DatasetConfig(), number=True)
     assert [r[-1] for r in table.orderBy("k").collect()] == list(range(9))
     assert sorted(r["_number"] for r in table.collect()) == sorted(r[7] for r in rows)
+
+
+def test_tasks_get_batches_of_few_megabytes(spark, tmp_path):
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    rows = spark.range(40).select("id", F.repeat(F.lit("x, {y} "), 1000).alias("t"))
+    sinks.write_json_arrays(rows, str(tmp_path / "a"), ["id"])
+    assert spark.conf.get(setting) == storage.BATCH_BYTES
+    spark.conf.unset(setting)
+    records = ranges.read_records(spark, str(tmp_path / "a"), ranges.JsonElements())
+    assert spark.conf.get(setting) == storage.BATCH_BYTES
+    assert records.count() == 40
