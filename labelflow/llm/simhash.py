@@ -152,14 +152,30 @@ def _stars(
     return linked, label[linked]
 
 
+def _across(
+    values: np.ndarray, also: np.ndarray, group: np.ndarray, radius: int, also_radius: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs, as places, within both radii and of two groups, some at a time."""
+    for at in range(0, len(values), 256):
+        some, rest = slice(at, at + 256), slice(at, None)
+        near = np.bitwise_count(values[some, None] ^ values[None, rest]) <= radius
+        near &= np.bitwise_count(also[some, None] ^ also[None, rest]) <= also_radius
+        near &= group[some, None] != group[None, rest]
+        a, b = np.nonzero(np.triu(near, 1))
+        yield a + at, b + at
+
+
 def near_links(
     nodes: DataFrame, radius: int, also_radius: int = 64, tree: Callable = _stars,
-    once: bool = False,
+    once: bool = False, across: bool = False,
 ) -> DataFrame:
     """Links (a, b) between nodes (node, fp, also) that connect all whose fp are
     within ``radius`` bits and whose also are within ``also_radius``, directly
     or through others. ``node`` is distinct.
 
+    ``across``, for nodes that have a ``group`` as well: every such pair of two
+    groups, each once, and none within a group.
+
     One row per node and mask goes into a partial aggregate; most buckets have
     one member and end there, those of two are compared as pairs. Only members
     of fuller buckets move again. A bucket of n members is dealt into n / BLOCK
@@ -192,10 +208,11 @@ def near_links(
         .where("n > 1")
     )
 
+    # What a pair is judged by.
+    known = ["fp", "also", *(["group"] if across else [])]
+
     def end(name: str) -> DataFrame:
-        return nodes.select(
-            F.col("node").alias(name), F.col("fp").alias(f"{name}_fp"), F.col("also").alias(f"{name}_also")
-        )
+        return nodes.select(F.col("node").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in known])
 
     def apart(what: str):
         return F.bit_count(F.col(f"a_{what}").bitwiseXOR(F.col(f"b_{what}")))
@@ -207,25 +224,30 @@ def near_links(
         .join(end("a"), "a")
         .join(end("b"), "b")
         .where((apart("fp") <= radius) & (apart("also") <= also_radius))
+        .where("a_group <> b_group" if across else "true")
         .select("a", "b")
     )
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = np.array(masks, np.int64)
 
-        def linked(key: int, parts: list[np.ndarray]) -> pa.RecordBatch:
-            node, fp, also = np.concatenate(parts, axis=1)
-            _, at = np.unique(node, return_index=True)
-            node, fp, also = node[at], fp[at], also[at]
-            a, b = tree(fp, also, radius, also_radius)
-            if once:
-                differ, new = fp[a] ^ fp[b], np.ones(len(a), bool)
-                for mask in kept[: (int(key) >> 54) & 1023]:
-                    new &= (differ & mask) != 0
-                a, b = a[new], b[new]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(node[a]), pa.array(node[b])], names=["a", "b"]
-            )
+        def linked(key: int, parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            values = np.concatenate(parts, axis=1)
+            _, at = np.unique(values[0], return_index=True)
+            node, fp, also, *group = values[:, at]
+            if across:
+                found = _across(fp, also, group[0], radius, also_radius)
+            else:
+                found = [tree(fp, also, radius, also_radius)]
+            for a, b in found:
+                if once or across:
+                    differ, new = fp[a] ^ fp[b], np.ones(len(a), bool)
+                    for mask in kept[: (int(key) >> 54) & 1023]:
+                        new &= (differ & mask) != 0
+                    a, b = a[new], b[new]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(node[a]), pa.array(node[b])], names=["a", "b"]
+                )
 
         current, held = None, []
         for batch in batches:
@@ -234,16 +256,16 @@ def near_links(
             parts = [batch.column(c).to_numpy() for c in ("key", "low", "high")]
             changed = np.any([np.diff(p) != 0 for p in parts], axis=0)
             edges = [0, *(np.flatnonzero(changed) + 1), batch.num_rows]
-            values = np.stack([batch.column(c).to_numpy() for c in ("node", "fp", "also")])
+            values = np.stack([batch.column(c).to_numpy() for c in ("node", *known)])
             for low, high in zip(edges, edges[1:]):
                 cell = tuple(p[low] for p in parts)
                 if cell != current and held:
-                    yield linked(current[0], held)
+                    yield from linked(current[0], held)
                     held = []
                 current = cell
                 held.append(values[:, low:high])
         if held:
-            yield linked(current[0], held)
+            yield from linked(current[0], held)
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -256,7 +278,7 @@ def near_links(
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
-            "node", "fp", "also",
+            "node", *known,
         )
     )
     many = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))

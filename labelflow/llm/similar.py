@@ -135,6 +135,28 @@ def _verified(pairs: DataFrame, size: int, threshold: float) -> DataFrame:
     return text_batches(pairs).mapInArrow(run, "a long, b long")
 
 
+def _confirmed(
+    links: DataFrame, distinct: DataFrame, keys: DataFrame, size: int, threshold: float
+) -> DataFrame:
+    """The links (a, b) whose whole texts are similar, stored."""
+    candidates = materialise(
+        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    )
+    asked = candidates.select("a").union(candidates.select("b")).distinct().toDF("_asked")
+    of_row = materialise(
+        distinct.join(asked, F.col("node") == F.col("_asked")).select(
+            "node", F.col("least").alias("_least")
+        )
+    )
+    texts = materialise(
+        keys.join(of_row, F.col("_row") == F.col("_least")).select(
+            "node", text_or_empty("_text").alias("text")
+        )
+    )
+    pairs = candidates.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
+    return materialise(_verified(pairs.select("a", "b", "a_text", "b_text"), size, threshold))
+
+
 def keep_dissimilar(
     docs: DataFrame, size: int, threshold: float, radius: int, also_radius: int
 ) -> DataFrame:
@@ -147,8 +169,10 @@ def keep_dissimilar(
     fingerprints of their distinct words, within ``radius`` bits, which a few
     changed words hardly move, and are within ``also_radius`` bits in the
     fingerprint of their shingles. In a bucket they are linked by the tree of
-    least distances of the latter, never as all pairs; every such link is then
+    least distances of the latter; every such link is then
     confirmed on the shingles of the two whole texts, so none is below the threshold.
+    What these links do not connect is tried pair by pair, so that no candidate
+    is left out.
 
     Texts with the same words are one node, whatever their number; texts without
     words are copies of each other. Only texts of candidate links move. Null ids
@@ -167,22 +191,14 @@ def keep_dissimilar(
     links = near_links(
         distinct.select("node", "fp", "also"), radius, also_radius, nearest_tree, once=True
     )
-    candidates = materialise(
-        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    asked = candidates.select("a").union(candidates.select("b")).distinct().toDF("_asked")
-    of_row = materialise(
-        distinct.join(asked, F.col("node") == F.col("_asked")).select(
-            "node", F.col("least").alias("_least")
-        )
-    )
-    texts = materialise(
-        keys.join(of_row, F.col("_row") == F.col("_least")).select(
-            "node", text_or_empty("_text").alias("text")
-        )
+    confirmed = _confirmed(links, distinct, keys, size, threshold)
+    # A tree's link may fail where one that it left out holds: those are tried as well.
+    groups = node_groups(distinct, confirmed, rows)
+    apart = materialise(
+        distinct.join(groups, F.col("node") == F.col("_node")).select("node", "fp", "also", "group")
     )
-    pairs = candidates.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
-    confirmed = materialise(_verified(pairs.select("a", "b", "a_text", "b_text"), size, threshold))
+    others = near_links(apart, radius, also_radius, across=True)
+    confirmed = confirmed.union(_confirmed(others, distinct, keys, size, threshold))
     of_node = node_groups(distinct, confirmed, rows)
     found = materialise(
         hashed.join(of_node, F.col("node") == F.col("_node")).select("_id", "_row", "group")

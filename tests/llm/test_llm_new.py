@@ -425,3 +425,20 @@ def test_repair_query(spark):
             mine += [(turn, "user" if fate == 4 else role, text)] * (2 if fate == 3 else 1)
     got = {r["conv_id"]: tuple(r)[1:] for r in queries.op12_conversation_repair(spark, SF_DIR).collect()}
     assert got == {k: plain_report(in_order(v)) for k, v in by_key.items()}
+
+
+def test_links_that_a_tree_left_out_are_tried(spark, monkeypatch):
+    """Six pairs of similar texts that all fall into one bucket at one distance."""
+    from labelflow.llm import similar
+
+    prints, none = similar._prints, F.lit(0).cast("long")
+    monkeypatch.setattr(
+        similar, "_prints", lambda texts, size: prints(texts, size).withColumns({"fp": none, "also": none})
+    )
+    rows = []
+    for k in range(6):
+        text = " ".join(f"w{k}x{i}" for i in range(60))
+        rows += [(2 * k, text), (2 * k + 1, text + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = similar.keep_dissimilar(docs, 5, 0.8, 6, 19)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 6, 8, 10]
