@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from labelflow.operators.matching import Vocabulary
 from labelflow.operators.monitoring import request_counts
 from labelflow.plans.normalize import normalize
-from labelflow.sources.batches import batch_results, classify, read_batch_files
+from labelflow.sources.batches import RESULT_COLUMNS, classify, read_batch_files
 from labelflow.sources.sinks import write_json
 from labelflow.storage import materialise, spread
 
@@ -29,14 +29,17 @@ def import_batches(
     """Read the output files below ``source`` (a folder per batch) and write
     ``path``/results and ``path``/counts as JSON lines.
 
-    The parsed lines are stored once: the normalizer reads its input more than
-    once. ``options`` go to the normalizer.
+    The lines are parsed once and stored, results with their parts and others
+    with their outcome only: the normalizer reads its input more than once, and
+    the counts take two columns. ``options`` go to the normalizer.
     """
-    lines = read_batch_files(spark, source)
-    stored = materialise(batch_results(lines, default_model))
-    labelled = normalize(spread(stored), vocabulary, **options).drop("raw_response")
+    lines = classify(read_batch_files(spark, source), default_model)
+    parts = {c: F.when(F.col("outcome") == "ok", F.col(c)) for c in RESULT_COLUMNS}
+    stored = materialise(lines.withColumns(parts | {"batch_id": F.col("batch_id")}))
+    good = stored.where(F.col("outcome") == "ok").select(*RESULT_COLUMNS)
+    labelled = normalize(spread(good), vocabulary, **options).drop("raw_response")
     write_json(labelled, f"{path}/results")
-    write_json(request_counts(classify(lines, default_model)), f"{path}/counts")
+    write_json(request_counts(stored.select("batch_id", "outcome")), f"{path}/counts")
     return Imported(
         spark.read.schema(labelled.schema).json(f"{path}/results"),
         spark.read.schema("batch_id string, total long, completed long, failed long").json(

@@ -15,6 +15,8 @@ BODY_SCHEMA = (
     "model string,"
     " choices array<struct<message: struct<content: string>, logprobs: string>>"
 )
+#: The parts of a line that is a result.
+RESULT_COLUMNS = ("id", "raw_response", "model_name", "batch_id", "confidence_scores")
 _FALSY = ["", "{}", "[]", "false", "0"]
 
 
@@ -69,14 +71,17 @@ def classify(lines: DataFrame, default_model: str) -> DataFrame:
     """
     record, body = F.col("_r"), F.col("_b")
     choice = F.get(body["choices"], F.lit(0))
-    keys = F.json_object_keys(record["response"]["body"])
+    # A key named error stands in the text, if not in escapes: most need no third look.
+    text = record["response"]["body"]
+    maybe = F.contains(text, F.lit('"error"')) | F.contains(text, F.lit("\\u"))
+    keys = F.json_object_keys(text)
     error = record["error"]
     outcome = (
         F.when(record.isNull() | record["_corrupt"].isNotNull(), "bad_json")
         .when(error.isNotNull() & ~error.isin(_FALSY), "api_error")
         .when(record["custom_id"].isNull(), "missing_key")
         .when(record["response"]["body"].isNull(), "missing_key")
-        .when(F.array_contains(keys, "error"), "body_error")
+        .when(maybe & F.array_contains(keys, "error"), "body_error")
         .when(F.size(body["choices"]) == 0, "empty_choices")
         .when(choice["message"]["content"].isNull(), "missing_key")
         .otherwise("ok")
@@ -96,7 +101,7 @@ def batch_results(lines: DataFrame, default_model: str) -> DataFrame:
     return (
         classify(lines, default_model)
         .where(F.col("outcome") == "ok")
-        .select("id", "raw_response", "model_name", "batch_id", "confidence_scores")
+        .select(*RESULT_COLUMNS)
     )
 
 
