@@ -215,7 +215,9 @@ def normalize(
 ) -> DataFrame:
     """Add ``categories`` and ``hallucinations`` to rows with ``raw_response``.
 
-    ``hallucinations`` is null where a row has no labels at all.
+    ``hallucinations`` is null where a row has no labels at all. Rows are stored
+    with their labels, which are looked at twice: cutting a response costs more
+    than reading it back.
     """
     if protect_comma_labels:
         rows = protected_labels(responses, vocabulary)
@@ -223,8 +225,10 @@ def normalize(
         rows = with_labels(responses)
     keyed = lists = None
     if vocabulary.names is None:
-        keyed = _with_list_key(rows)
+        keyed = materialise(_with_list_key(rows))
         lists = _distinct_lists(keyed)
+    else:
+        rows = materialise(rows)
     matches = materialise(
         match_misses(
             distinct_misses(rows if lists is None else lists, vocabulary), vocabulary
