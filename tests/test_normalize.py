@@ -139,3 +139,10 @@ def test_top_labels(spark):
     out = N.top_labels(N.normalize(_responses(spark), _vocabulary(spark)), 2)
     # Quoted labels count as written.
     assert [tuple(r) for r in out.collect()] == [("Biology", 7), ("Chemistry", 4)]
+
+
+@pytest.mark.parametrize("limit", [1000, 0])
+def test_responses_are_cut_once(spark, limit):
+    """The result reads labels back instead of cutting each response again."""
+    out = N.normalize(_responses(spark), _vocabulary(spark, limit))
+    assert "regexp_replace" not in out._jdf.queryExecution().optimizedPlan().toString()

@@ -6,6 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from labelflow.sources import sinks
 from labelflow.operators.asof import valid_at
 from labelflow.operators.levels import cost_levels, merged_quantiles, quantile_states
 
@@ -69,3 +70,28 @@ def test_merged_sketches_keep_their_bound(spark):
     assert states.agg(F.max(F.length("state"))).first()[0] < 20_000
     none = quantile_states(values.selectExpr("run", "CAST(NULL AS DOUBLE) AS v"), ["run"], "v")
     assert merged_quantiles(none, ["run"], (0.5,)).count() == 0
+
+
+def test_import_parses_lines_once(spark, tmp_path, monkeypatch):
+    from labelflow.operators.matching import Vocabulary
+    from labelflow.plans import importing
+    from labelflow.sources import batches
+
+    calls, parsed = [], batches._parsed
+    monkeypatch.setattr(batches, "_parsed", lambda lines: calls.append(1) or parsed(lines))
+    good = (
+        '{"custom_id": "1", "response": {"status_code": 200, "body": {"choices": '
+        '[{"message": {"content": "Biology, error"}}]}}}'
+    )
+    failed = '{"custom_id": "2", "response": {"status_code": 400, "body": {"error": null}}}'
+    escaped = failed.replace('"error"', '"\\\\u0065rror"')
+    rows = [("b1", good), ("b1", failed), ("b1", escaped), ("b2", "{")]
+    sinks.write_batches(spark.createDataFrame(rows, "batch_id string, line string"), str(tmp_path / "in"))
+    topics = spark.createDataFrame([(0, "Biology")], "pos long, topic string")
+    synonyms = spark.createDataFrame([], "pos long, synonym string, label string")
+    done = importing.import_batches(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), Vocabulary.of(topics, synonyms), "m"
+    )
+    assert len(calls) == 1
+    assert sorted(map(tuple, done.counts.collect())) == [("b1", 3, 1, 2), ("b2", 1, 0, 1)]
+    assert [(r["id"], r["batch_id"], r["categories"]) for r in done.results.collect()] == [("1", "b1", ["Biology"])]
