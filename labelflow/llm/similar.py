@@ -11,11 +11,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelflow.llm.common import by_bytes, store_rows, text_batches, text_or_empty
+from labelflow.llm.components import connected
 from labelflow.llm.simhash import (
     FOLD, SEED, TEXT_BYTES, fingerprint, first_of_group, near_links, node_groups, with_row,
 )
 from labelflow.storage import materialise
 
+#: Nodes and shingles of a block of a component; a task compares two blocks.
+BLOCK, BLOCK_SHINGLES = 2_048, 1 << 20
+#: A smaller component is dealt into blocks of so many nodes, up to so many
+#: blocks, so that more tasks share its pairs.
+FEW, PARTS = 64, 32
+
 
 def words_of(text: bytes) -> list[bytes]:
     return [w for w in text.translate(FOLD).split(b" ") if w]
@@ -135,28 +142,179 @@ def _verified(pairs: DataFrame, size: int, threshold: float) -> DataFrame:
     return text_batches(pairs).mapInArrow(run, "a long, b long")
 
 
-def _confirmed(
-    links: DataFrame, distinct: DataFrame, keys: DataFrame, size: int, threshold: float
-) -> DataFrame:
-    """The links (a, b) whose whole texts are similar, stored."""
-    candidates = materialise(
-        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    )
-    asked = candidates.select("a").union(candidates.select("b")).distinct().toDF("_asked")
+def _texts(asked: DataFrame, distinct: DataFrame, keys: DataFrame) -> DataFrame:
+    """node and text of the nodes in the only column of ``asked``, stored."""
     of_row = materialise(
-        distinct.join(asked, F.col("node") == F.col("_asked")).select(
+        distinct.join(asked.toDF("_asked"), F.col("node") == F.col("_asked")).select(
             "node", F.col("least").alias("_least")
         )
     )
-    texts = materialise(
+    return materialise(
         keys.join(of_row, F.col("_row") == F.col("_least")).select(
             "node", text_or_empty("_text").alias("text")
         )
     )
+
+
+def _confirmed(
+    links: DataFrame, distinct: DataFrame, keys: DataFrame, size: int, threshold: float
+) -> DataFrame:
+    """The links (a, b) whose whole texts are similar, stored."""
+    candidates = materialise(
+        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    )
+    asked = candidates.select("a").union(candidates.select("b")).distinct()
+    texts = _texts(asked, distinct, keys)
     pairs = candidates.join(texts.toDF("a", "a_text"), "a").join(texts.toDF("b", "b_text"), "b")
     return materialise(_verified(pairs.select("a", "b", "a_text", "b_text"), size, threshold))
 
 
+def links_between(
+    fp: np.ndarray, also: np.ndarray, group: np.ndarray, own: np.ndarray, sets: list[np.ndarray],
+    radius: int, also_radius: int, threshold: float,
+) -> list[tuple[int, int]]:
+    """Links, as places, that connect all groups of which two members, in two
+    blocks (``own``) if there are two, are within both radii and have similar
+    ``sets`` (sorted, none empty): a tree, never all pairs.
+
+    Every such pair is tried, unless links found before connect its groups. One
+    set is compared with all behind it at once.
+    """
+    if not sets:
+        return []
+    fp, also = fp.view(np.uint64), also.view(np.uint64)  # bits of negative numbers count as they are
+    label = np.unique(group, return_inverse=True)[1]
+    two = own.min() != own.max()
+    sizes = np.array([len(s) for s in sets])
+    starts = np.cumsum(sizes) - sizes
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    held = np.zeros(ids.max() + 1, np.uint8)
+    found = []
+    for at in range(len(sets) - 1):
+        rest = slice(at + 1, None)
+        near = np.bitwise_count(fp[rest] ^ fp[at]) <= radius
+        near &= np.bitwise_count(also[rest] ^ also[at]) <= also_radius
+        near &= label[rest] != label[at]
+        if two:
+            near &= own[rest] != own[at]
+        if not near.any():
+            continue
+        behind = starts[at + 1]
+        mine = ids[starts[at] : behind]
+        held[mine] = 1
+        common = np.add.reduceat(held[ids[behind:]], starts[rest] - behind, dtype=np.int64)
+        held[mine] = 0
+        near &= (common > 0) & (common >= threshold * (sizes[rest] + sizes[at] - common))
+        for to in np.flatnonzero(near) + at + 1:
+            if label[to] != label[at]:
+                found.append((at, int(to)))
+                label[label == label[to]] = label[at]
+    return found
+
+
+def _with_shingles(members: DataFrame, size: int) -> DataFrame:
+    """``members`` with the hashes of its shingles in place of the last column,
+    text, and their number n; texts without words are left out."""
+    kept = members.columns[:-1]
+    schema = T.StructType(
+        [
+            *[members.schema[c] for c in kept],
+            T.StructField("shingles", T.BinaryType()), T.StructField("n", T.LongType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, "text", TEXT_BYTES):
+            texts = batch.column("text").cast(pa.binary()).to_pylist()
+            sets = [shingles_of(text, size) for text in texts]
+            out = pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in kept],
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                ],
+                names=schema.names,
+            )
+            yield out.filter(pa.compute.greater(out.column("n"), 0))
+
+    return text_batches(members).mapInArrow(run, schema)
+
+
+def _between(
+    links: DataFrame, groups: DataFrame, distinct: DataFrame, keys: DataFrame, size: int,
+    threshold: float, radius: int, also_radius: int,
+) -> DataFrame:
+    """Links (a, b), stored, of similar texts within both radii, that connect all
+    ``groups`` with such a pair.
+
+    Whatever is within the radii is connected by ``links``, so a pair of two
+    groups is in one component of the links between groups. Only nodes of such
+    components move, with the hashes of their shingles. A component is dealt
+    into blocks, and every pair of blocks is compared in some task, which
+    returns a tree of links: no pair that is only tried becomes a row.
+    """
+    group = groups.select("_node", "group")
+    ends = links.join(group.toDF("a", "a_group"), "a").join(group.toDF("b", "b_group"), "b")
+    open_ = connected(ends.select(F.col("a_group").alias("a"), F.col("b_group").alias("b")))
+    asked = materialise(
+        group.join(open_.toDF("group", "root"), "group").select(
+            F.col("_node").alias("node"), "group", "root"
+        )
+    )
+    texts = _texts(asked.select("node"), distinct, keys)
+    members = asked.join(distinct.select("node", "fp", "also"), "node").join(texts, "node")
+    stored = materialise(_with_shingles(members.select(
+        "node", "group", "root", "fp", "also", "text"
+    ), size))
+    blocks = F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES),
+        F.least(F.ceil(F.count("*") / FEW), F.lit(PARTS)),
+    ).cast("int")
+    parts = stored.groupBy("root").agg(blocks.alias("blocks"))
+    cells = (
+        stored.drop("n").join(parts, "root")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
+        .select("root", "low", "high", "node", "fp", "also", "group", "own", "shingles")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def linked(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(held)
+            node, *known = (table.column(c).to_numpy() for c in ("node", "fp", "also", "group", "own"))
+            sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles")]
+            found = links_between(*known, sets, radius, also_radius, threshold)
+            ends = node[np.array(found, np.int64).reshape(-1, 2)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(ends[:, 0]), pa.array(ends[:, 1])], names=["a", "b"]
+            )
+
+        current, held = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            parts = [batch.column(c).to_numpy() for c in ("root", "low", "high")]
+            changed = np.any([np.diff(p) != 0 for p in parts], axis=0)
+            edges = [0, *(np.flatnonzero(changed) + 1), batch.num_rows]
+            for start, end in zip(edges, edges[1:]):
+                cell = tuple(p[start] for p in parts)
+                if cell != current and held:
+                    yield linked(held)
+                    held = []
+                current = cell
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield linked(held)
+
+    many = int(links.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialise(
+        text_batches(cells).repartition(many, "root", "low", "high")
+        .sortWithinPartitions("root", "low", "high")
+        .mapInArrow(run, "a long, b long")
+    )
+
+
 def keep_dissimilar(
     docs: DataFrame, size: int, threshold: float, radius: int, also_radius: int
 ) -> DataFrame:
@@ -171,8 +329,8 @@ def keep_dissimilar(
     fingerprint of their shingles. In a bucket they are linked by the tree of
     least distances of the latter; every such link is then
     confirmed on the shingles of the two whole texts, so none is below the threshold.
-    What these links do not connect is tried pair by pair, so that no candidate
-    is left out.
+    What these links do not connect is tried pair by pair (``_between``), so that
+    no candidate is left out.
 
     Texts with the same words are one node, whatever their number; texts without
     words are copies of each other. Only texts of candidate links move. Null ids
@@ -188,17 +346,17 @@ def keep_dissimilar(
         ),
         rows,
     )
-    links = near_links(
-        distinct.select("node", "fp", "also"), radius, also_radius, nearest_tree, once=True
+    links = materialise(
+        near_links(
+            distinct.select("node", "fp", "also"), radius, also_radius, nearest_tree, once=True
+        )
     )
     confirmed = _confirmed(links, distinct, keys, size, threshold)
     # A tree's link may fail where one that it left out holds: those are tried as well.
     groups = node_groups(distinct, confirmed, rows)
-    apart = materialise(
-        distinct.join(groups, F.col("node") == F.col("_node")).select("node", "fp", "also", "group")
+    confirmed = confirmed.union(
+        _between(links, groups, distinct, keys, size, threshold, radius, also_radius)
     )
-    others = near_links(apart, radius, also_radius, across=True)
-    confirmed = confirmed.union(_confirmed(others, distinct, keys, size, threshold))
     of_node = node_groups(distinct, confirmed, rows)
     found = materialise(
         hashed.join(of_node, F.col("node") == F.col("_node")).select("_id", "_row", "group")

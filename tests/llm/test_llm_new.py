@@ -442,3 +442,64 @@ def test_links_that_a_tree_left_out_are_tried(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = similar.keep_dissimilar(docs, 5, 0.8, 6, 19)
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 4, 6, 8, 10]
+
+
+def test_near_texts_that_are_not_similar_are_not_paired_as_rows(spark, monkeypatch):
+    """Eighty texts and copies with a word more, all in one bucket: pairs that are
+    only tried are no rows, and no pair of similar texts is lost."""
+    from labelflow.llm import similar
+
+    prints, none = similar._prints, F.lit(0).cast("long")
+    monkeypatch.setattr(
+        similar, "_prints", lambda texts, size: prints(texts, size).withColumns({"fp": none, "also": none})
+    )
+    verified, tried = similar._verified, []
+
+    def counted(pairs, *rest):
+        tried.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(similar, "_verified", counted)
+    rows = [(-1, None), (-2, "")]
+    for k in range(80):
+        text = " ".join(f"w{k}x{i}" for i in range(30))
+        rows += [(2 * k, text), (2 * k + 1, text + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = similar.keep_dissimilar(docs, 5, 0.8, 6, 19)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [-2, *range(0, 160, 2)]
+    assert sum(tried) < 2 * len(rows)
+
+
+def test_links_between_groups_connect_what_all_pairs_connect():
+    """Against all pairs, with one block and with two; the first bit counts as any other."""
+    from labelflow.llm import similar
+
+    chosen = random.Random(23)
+    for blocks in (1, 2):
+        for _ in range(40):
+            n = chosen.randint(0, 25)
+            bits = [chosen.getrandbits(3) << 61 | chosen.getrandbits(2) for _ in range(n)]
+            fp = np.array(bits, np.uint64).view(np.int64)
+            also = np.array([chosen.getrandbits(2) << 62 for _ in range(n)], np.uint64).view(np.int64)
+            group = np.array([chosen.randrange(-9, 9) for _ in range(n)], np.int64)
+            own = np.array([chosen.randrange(blocks) for _ in range(n)], np.int64)
+            sets = [np.unique(np.array(chosen.choices(range(8), k=6), np.uint64)) for _ in range(n)]
+            found = similar.links_between(fp, also, group, own, sets, 2, 1, 0.7)
+
+            def holds(a, b):
+                x, y = set(sets[a].tolist()), set(sets[b].tolist())
+                apart = ((int(also[a]) ^ int(also[b])) & 2**64 - 1).bit_count()
+                near = (bits[a] ^ bits[b]).bit_count() <= 2 and apart <= 1
+                two = len(set(own.tolist())) > 1
+                return near and (own[a] != own[b] or not two) and len(x & y) >= 0.7 * len(x | y)
+
+            def groups(links):
+                label = {g: g for g in group.tolist()}
+                for a, b in links:
+                    x, y = label[int(group[a])], label[int(group[b])]
+                    label = {g: x if c == y else c for g, c in label.items()}
+                return sorted(tuple(sorted(g for g in label if label[g] == c)) for c in set(label.values()))
+
+            assert all(holds(a, b) and group[a] != group[b] for a, b in found)
+            assert groups(found) == groups([(a, b) for a in range(n) for b in range(a) if holds(a, b)])
+            assert len(found) < max(1, len(set(group.tolist())))
