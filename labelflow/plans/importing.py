@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from labelflow.operators.matching import Vocabulary
 from labelflow.operators.monitoring import request_counts
-from labelflow.plans.normalize import normalize
+from labelflow.plans.normalize import cut_labels, resolve_labels
 from labelflow.sources.batches import RESULT_COLUMNS, classify, read_batch_files
 from labelflow.sources.sinks import write_json
 from labelflow.storage import materialise, spread
@@ -27,18 +27,22 @@ def import_batches(
     spark, source: str, path: str, vocabulary: Vocabulary, default_model: str, **options
 ) -> Imported:
     """Read the output files below ``source`` (a folder per batch) and write
-    ``path``/results and ``path``/counts as JSON lines.
+    ``path``/results and ``path``/counts as JSON lines, the results in gzip files.
 
-    The lines are parsed once and stored, results with their parts and others
-    with their outcome only: the normalizer reads its input more than once, and
-    the counts take two columns. ``options`` go to the normalizer.
+    The lines are parsed once and stored once, results with their labels and
+    others with their outcome only: the normalizer looks at labels twice, and the
+    counts take two columns. Answers are not stored again. ``options`` go to the
+    normalizer.
     """
     lines = classify(read_batch_files(spark, source), default_model)
     parts = {c: F.when(F.col("outcome") == "ok", F.col(c)) for c in RESULT_COLUMNS}
-    stored = materialise(lines.withColumns(parts | {"batch_id": F.col("batch_id")}))
-    good = stored.where(F.col("outcome") == "ok").select(*RESULT_COLUMNS)
-    labelled = normalize(spread(good), vocabulary, **options).drop("raw_response")
-    write_json(labelled, f"{path}/results")
+    parsed = spread(lines.withColumns(parts | {"batch_id": F.col("batch_id")}))
+    protect = options.pop("protect_comma_labels", False)
+    stored = materialise(cut_labels(parsed, vocabulary, protect).drop("raw_response"))
+    good = stored.where(F.col("outcome") == "ok")
+    keep = [c for c in RESULT_COLUMNS if c != "raw_response"]
+    labelled = resolve_labels(good, vocabulary, keep, **options)
+    write_json(labelled, f"{path}/results", compression="gzip")
     write_json(request_counts(stored.select("batch_id", "outcome")), f"{path}/counts")
     return Imported(
         spark.read.schema(labelled.schema).json(f"{path}/results"),

@@ -204,31 +204,32 @@ def _append(valid: Column, matched: Column, rescue_all_miss: bool) -> Column:
     return F.when(F.size(valid) > 0, F.concat(valid, matched)).otherwise(valid)
 
 
-def normalize(
-    responses: DataFrame,
+def cut_labels(
+    responses: DataFrame, vocabulary: Vocabulary, protect_comma_labels: bool = False
+) -> DataFrame:
+    """Rows with ``labels``, and under a large vocabulary ``list_key``: what is
+    to be stored for ``resolve_labels``."""
+    if protect_comma_labels:
+        rows = protected_labels(responses, vocabulary)
+    else:
+        rows = with_labels(responses)
+    return _with_list_key(rows) if vocabulary.names is None else rows
+
+
+def resolve_labels(
+    rows: DataFrame,
     vocabulary: Vocabulary,
+    keep: list[str],
     *,
     rescue_all_miss: bool = False,
     distinct_categories: bool = False,
-    protect_comma_labels: bool = False,
     inline_matches: int = INLINE_MATCHES,
 ) -> DataFrame:
-    """Add ``categories`` and ``hallucinations`` to rows with ``raw_response``.
-
-    ``hallucinations`` is null where a row has no labels at all. Rows are stored
-    with their labels, which are looked at twice: cutting a response costs more
-    than reading it back.
-    """
-    if protect_comma_labels:
-        rows = protected_labels(responses, vocabulary)
-    else:
-        rows = with_labels(responses)
+    """The columns ``keep`` of stored rows of ``cut_labels``, with ``categories``
+    and ``hallucinations``."""
     keyed = lists = None
     if vocabulary.names is None:
-        keyed = materialise(_with_list_key(rows))
-        lists = _distinct_lists(keyed)
-    else:
-        rows = materialise(rows)
+        keyed, lists = rows, _distinct_lists(rows)
     matches = materialise(
         match_misses(
             distinct_misses(rows if lists is None else lists, vocabulary), vocabulary
@@ -263,12 +264,36 @@ def normalize(
     categories = _append(F.col("valid"), F.col("matched"), rescue_all_miss)
     if distinct_categories:
         categories = F.array_distinct(categories)
-    keep = [c for c in responses.columns if c not in ("categories", "hallucinations")]
     return resolved.select(
         *keep, categories.alias("categories"), F.col("misses").alias("hallucinations")
     )
 
 
+def normalize(
+    responses: DataFrame,
+    vocabulary: Vocabulary,
+    *,
+    rescue_all_miss: bool = False,
+    distinct_categories: bool = False,
+    protect_comma_labels: bool = False,
+    inline_matches: int = INLINE_MATCHES,
+) -> DataFrame:
+    """Add ``categories`` and ``hallucinations`` to rows with ``raw_response``.
+
+    ``hallucinations`` is null where a row has no labels at all. Rows are stored
+    with their labels, which are looked at twice: cutting a response costs more
+    than reading it back.
+    """
+    return resolve_labels(
+        materialise(cut_labels(responses, vocabulary, protect_comma_labels)),
+        vocabulary,
+        [c for c in responses.columns if c not in ("categories", "hallucinations")],
+        rescue_all_miss=rescue_all_miss,
+        distinct_categories=distinct_categories,
+        inline_matches=inline_matches,
+    )
+
+
 def unexpected_labels(responses: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Rows whose only label is an unquoted phrase outside the vocabulary."""
     label = F.col("label")

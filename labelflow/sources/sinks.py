@@ -8,11 +8,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelflow.storage import text_batches
+from labelflow.storage import open_files, text_batches
 
-def write_json(df: DataFrame, path: str, mode: str = "append") -> None:
+#: Batches that a task writes at once; those beyond are sorted.
+BATCH_FILES = 64
+
+
+def write_json(
+    df: DataFrame, path: str, mode: str = "append", compression: str | None = None
+) -> None:
     """JSON lines; appending adds files and never rewrites old rows."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+    df.write.mode(mode).option("ignoreNullFields", False).json(path, compression=compression)
 
 
 def write_json_arrays(df: DataFrame, path: str, order: list[str | Column]) -> None:
@@ -84,10 +90,15 @@ def write_requests(
 
 
 def write_batches(lines: DataFrame, path: str) -> None:
-    """Model output lines in one folder per batch."""
-    lines.select("batch_id", F.col("line").alias("value")).write.partitionBy(
-        "batch_id"
-    ).text(path)
+    """Model output lines in one folder per batch, in gzip files.
+
+    A task writes a few batches at once: sorted by batch first, as Spark does by
+    default, its lines may go to disk another time.
+    """
+    with open_files(lines.sparkSession, BATCH_FILES):
+        lines.select("batch_id", F.col("line").alias("value")).write.partitionBy(
+            "batch_id"
+        ).text(path, compression="gzip")
 
 
 def append_ledger(rows: DataFrame, path: str) -> None:

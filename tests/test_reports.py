@@ -95,3 +95,43 @@ def test_import_parses_lines_once(spark, tmp_path, monkeypatch):
     assert len(calls) == 1
     assert sorted(map(tuple, done.counts.collect())) == [("b1", 3, 1, 2), ("b2", 1, 0, 1)]
     assert [(r["id"], r["batch_id"], r["categories"]) for r in done.results.collect()] == [("1", "b1", ["Biology"])]
+
+
+def test_import_stores_lines_once_and_packs_them(spark, tmp_path):
+    """Disk: files of lines and results in gzip, one stored table of ids, none of answers."""
+    from labelflow import storage
+    from labelflow.operators.matching import Vocabulary
+    from labelflow.plans import importing
+
+    head, tail = '{"custom_id": "', '", "response": {"status_code": 200, "body": {"choices": [{"message": {"content": '
+    lines = [(f"b{i % 3}", f'{head}{i}{tail}"Biology, botany {i % 7}"}}}}]}}}}}}') for i in range(3_000)]
+    lines += [("b1", "{"), ("b9", f"{head}x{tail}null}}]}}}}}}")]
+    source, out = tmp_path / "in", tmp_path / "out"
+    before = spark.conf.get(storage._WRITERS)
+    sinks.write_batches(spark.createDataFrame(lines, "batch_id string, line string").coalesce(2), str(source))
+    assert spark.conf.get(storage._WRITERS) == before
+    size = lambda folder: sum(p.stat().st_size for p in folder.rglob("part-*"))
+    plain = sum(len(line or "") for _, line in lines)
+    assert size(source) < plain / 4
+    topics = spark.createDataFrame([(0, "Biology")], "pos long, topic string")
+    synonyms = spark.createDataFrame([], "pos long, synonym string, label string")
+    stored = []
+    for limit in (10, 0):  # a vocabulary looked up in the row, and one that is joined
+        made = []
+        storage._watching.append(made)
+        try:
+            done = importing.import_batches(
+                spark, str(source), str(out / str(limit)), Vocabulary.of(topics, synonyms, limit), "m"
+            )
+        finally:
+            storage._watching.remove(made)
+        columns = [spark.read.parquet(path).columns for path in made]
+        stored.append(sum("id" in c for c in columns))
+        assert not any("raw_response" in c for c in columns)
+        assert size(out / str(limit) / "results") < size(source)
+        rows = {r["id"]: (r["batch_id"], r["categories"], r["hallucinations"]) for r in done.results.collect()}
+        assert rows == {str(i): (f"b{i % 3}", ["Biology"], [f"botany {i % 7}"]) for i in range(3_000)}
+        assert sorted(map(tuple, done.counts.collect())) == [
+            ("b0", 1000, 1000, 0), ("b1", 1001, 1000, 1), ("b2", 1000, 1000, 0), ("b9", 1, 0, 1)
+        ]
+    assert stored == [1, 1]
