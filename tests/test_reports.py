@@ -97,7 +97,7 @@ def test_import_parses_lines_once(spark, tmp_path, monkeypatch):
     assert [(r["id"], r["batch_id"], r["categories"]) for r in done.results.collect()] == [("1", "b1", ["Biology"])]
 
 
-def test_import_stores_lines_once_and_packs_them(spark, tmp_path):
+def test_import_stores_lines_once_and_packs_them(spark, tmp_path, monkeypatch):
     """Disk: files of lines and results in gzip, one stored table of ids, none of answers."""
     from labelflow import storage
     from labelflow.operators.matching import Vocabulary
@@ -108,6 +108,7 @@ def test_import_stores_lines_once_and_packs_them(spark, tmp_path):
     lines += [("b1", "{"), ("b9", f"{head}x{tail}null}}]}}}}}}")]
     source, out = tmp_path / "in", tmp_path / "out"
     before = spark.conf.get(storage._WRITERS)
+    monkeypatch.setattr(sinks, "BATCH_FILES", 2)  # of four batches: the rest is sorted
     sinks.write_batches(spark.createDataFrame(lines, "batch_id string, line string").coalesce(2), str(source))
     assert spark.conf.get(storage._WRITERS) == before
     size = lambda folder: sum(p.stat().st_size for p in folder.rglob("part-*"))
